@@ -1,0 +1,3 @@
+"""No streaming job is in scope: every source is a bounded table, and the two
+guarded appends (unknown member, calendar day) are plain batch functions in
+``starmill.operators.dims``."""
