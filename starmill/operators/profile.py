@@ -71,17 +71,20 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
 def describe_exact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample deviation, min, quartiles and max, one row per column."""
     numbers = coerce_numeric(df.select(*columns), columns)
-    moments = (
-        numbers.unpivot([], list(columns), "column_name", "v")
-        .groupBy("column_name")
-        .agg(
-            F.count("v").alias("count"),
-            F.mean("v").alias("mean"),
-            F.stddev_samp("v").alias("std"),
-            F.min("v").alias("min"),
-            F.max("v").alias("max"),
-        )
+    one_pass = numbers.agg(
+        *[
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count(c).alias("count"),
+                F.mean(c).alias("mean"),
+                F.stddev_samp(c).alias("std"),
+                F.min(c).alias("min"),
+                F.max(c).alias("max"),
+            ).alias(f"_{i}")
+            for i, c in enumerate(columns)
+        ]
     )
+    moments = one_pass.select(F.inline(F.array(*one_pass.columns)))
     quartiles = (
         exact_quantiles(df, columns, [0.25, 0.5, 0.75])
         .groupBy("column_name")

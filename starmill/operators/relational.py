@@ -39,12 +39,12 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], value: str, by: str) -> DataFrame:
-    """Value of the latest row per key; among rows of that date the smallest value.
+    """Value of the row with the latest date per key; on one date the smallest value.
 
-    Both steps are hash aggregates over fixed-width buffers with map-side combine.
+    Each task reduces its rows to one per key before the only shuffle.
     """
-    per_date = df.groupBy(*keys, by).agg(F.min(value).alias(value))
-    return per_date.groupBy(*keys).agg(F.max_by(value, by).alias(value))
+    first = F.struct(-F.unix_date(by), F.col(value))
+    return df.groupBy(*keys).agg(F.min_by(value, first).alias(value))
 
 
 def mode_by(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
@@ -55,7 +55,7 @@ def mode_by(df: DataFrame, keys: Sequence[str], value: str, weight: str | None =
     """
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_n"))
-    return distinct_on(counts, keys, [F.desc("_n"), F.asc(value)]).drop("_n")
+    return counts.groupBy(*keys).agg(F.min_by(value, F.struct(-F.col("_n"), F.col(value))).alias(value))
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -69,9 +69,8 @@ def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def min_by_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Smallest value per key. The distinct step is a hash aggregate and shrinks the
-    input of the sort that a text minimum needs."""
-    return df.select(*keys, value).distinct().groupBy(*keys).agg(F.min(value).alias(value))
+    """Smallest value per key."""
+    return df.groupBy(*keys).agg(F.min(value).alias(value))
 
 
 def sorted_values(df: DataFrame, column: str) -> DataFrame:

@@ -8,12 +8,25 @@ from starmill.recommend import constants as K
 from starmill.recommend import features
 from starmill.recommend.catalog import prepare_candidates
 from starmill.recommend.model import recommend
-from starmill.sources.staging import stage
+from starmill.sources.staging import stage, together
 from starmill.sources.writers import write_parquet, write_table
 
 DEFAULT_TABLE_NAME = "model_infer"
 
 
+def stage_training(training: DataFrame) -> DataFrame:
+    """The forest's rows, written in as many parts as the cluster shuffles into.
+
+    Growing trees costs far more than reading rows, so few large parts would leave
+    cores idle. Rows are sorted within their part, because bagging goes by position
+    and equal input should give equal trees.
+    """
+    rows = features.compact(training)
+    tasks = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = [*K.FEATURE_COLUMNS, K.TARGET, "copy"]
+    return stage(rows.repartition(tasks, *columns).sortWithinPartitions(*columns), "training")
+
+
 def run_recommender(
     ratings: DataFrame,
     films: DataFrame,
@@ -28,9 +41,11 @@ def run_recommender(
     **model_options: int,
 ) -> DataFrame:
     """The source of each table is the caller's choice: catalogue, Parquet or text."""
-    states = stage(features.user_state(revenue, addresses), "user-state")
-    training = stage(features.training_set(ratings, films, states), "training")
-    candidates = stage(prepare_candidates(movies, limit), "candidates")
+    def assemble() -> DataFrame:
+        states = stage(features.user_state(revenue, addresses), "user-state")
+        return stage_training(features.training_set(ratings, films, states))
+
+    training, candidates = together(assemble, lambda: stage(prepare_candidates(movies, limit), "candidates"))
     predictions = recommend(
         training, candidates, features.known_states(training), limit, top_k, **model_options
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starmill.operators import dims, facts
 from starmill.operators.keys import ensure_unknown_member, member_key
-from starmill.sources.staging import stage
+from starmill.sources.staging import stage, together
 
 USER_KEY = ["email", "telefone"]
 ADDRESS_KEY = ["bairro", "municipio", "estado", "logradouro"]
@@ -47,6 +47,24 @@ def load_producers(producers: DataFrame) -> tuple[DataFrame, DataFrame]:
     return dim, keyed.select("produtoraid", "produtorask")
 
 
+def load_addresses(users: DataFrame) -> DataFrame:
+    """Address dimension."""
+    return dims.from_distinct(users, ADDRESS_KEY, "enderecosk")
+
+
+def film_keys_of(
+    film_map: DataFrame, royalties: DataFrame, producers: DataFrame, producer_map: DataFrame
+) -> DataFrame:
+    """(filmeid, filmesk, produtorask) for the rating rows, written once."""
+    unknown = member_key(producers, "produtorask", "produtoranome", UNKNOWN_PRODUCER)
+    return stage(facts.film_lookup(film_map, facts.latest_payer(royalties), producer_map, unknown), "film-keys")
+
+
+def user_keys_of(users: DataFrame, user_map: DataFrame, addresses: DataFrame) -> DataFrame:
+    """(usuarioid, usuariosk, enderecosk) for the payment rows, written once."""
+    return stage(facts.user_lookup(users, user_map, addresses, ADDRESS_KEY), "user-keys")
+
+
 def init_load(
     source: Mapping[str, DataFrame],
     run_date: dt.date | str | None = None,
@@ -57,26 +75,29 @@ def init_load(
     ``source`` holds the operational tables usuario, filme, filme_generofilme,
     produtora, filmpagtoroy, avaliacao and usrpagto.
     """
-    usuario, user_map = load_users(source["usuario"])
-    endereco = dims.from_distinct(source["usuario"], ADDRESS_KEY, "enderecosk")
-    filme, film_map = load_films(source["filme"], source["filme_generofilme"])
-    produtora, producer_map = load_producers(source["produtora"])
-    calendario = dims.calendar(
-        [(source["avaliacao"], "avaliacaodata"), (source["usrpagto"], "datapagto")], run_date, weekday_style
+    bounds = [(source["avaliacao"], "avaliacaodata"), (source["usrpagto"], "datapagto")]
+    (usuario, user_map), endereco, (films, film_map), (produtora, producer_map), calendario = together(
+        lambda: load_users(source["usuario"]),
+        lambda: load_addresses(source["usuario"]),
+        lambda: load_films(source["filme"], source["filme_generofilme"]),
+        lambda: load_producers(source["produtora"]),
+        lambda: stage(dims.calendar(bounds, run_date, weekday_style), "calendar"),
+    )
+    film_keys, user_keys = together(
+        lambda: film_keys_of(film_map, source["filmpagtoroy"], produtora, producer_map),
+        lambda: user_keys_of(source["usuario"], user_map, endereco),
+    )
+    avaliacao, receita = together(
+        lambda: facts.load_rating(source["avaliacao"], user_map, film_keys, calendario),
+        lambda: facts.load_revenue(source["usrpagto"], user_keys, calendario),
     )
-    calendario = stage(calendario, "calendar")
-
-    payer = stage(facts.latest_payer(source["filmpagtoroy"]), "payer")
-    unknown = member_key(produtora, "produtorask", "produtoranome", UNKNOWN_PRODUCER)
-    films = stage(facts.film_lookup(film_map, payer, producer_map, unknown), "film-lookup")
-    users = stage(facts.user_lookup(source["usuario"], user_map, endereco, ADDRESS_KEY), "user-lookup")
     return {
         "usuario": usuario,
-        "filme": filme,
+        "filme": films,
         "endereco": endereco,
         "calendario": calendario,
         "produtora": produtora,
-        "avaliacao": facts.load_rating(source["avaliacao"], user_map, films, calendario),
-        "receita": facts.load_revenue(source["usrpagto"], users, calendario),
+        "avaliacao": avaliacao,
+        "receita": receita,
         "user_map": user_map,
     }

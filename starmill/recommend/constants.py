@@ -4,6 +4,8 @@ NUMERIC_COLUMNS = ["anodelancamento", "duracaomin"]
 CATEGORICAL_COLUMNS = ["generonome", "estado"]
 FEATURE_COLUMNS = NUMERIC_COLUMNS + CATEGORICAL_COLUMNS
 TARGET = "nota"
+WEIGHT = "weight"
+MAX_COPIES = 1000
 TOP_K_PER_STATE = 25
 CANDIDATE_LIMIT = 400
 

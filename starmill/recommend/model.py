@@ -52,6 +52,7 @@ def build_pipeline(num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, s
             VectorAssembler(inputCols=["scaled", *hot], outputCol="features"),
             RandomForestRegressor(
                 labelCol=K.TARGET,
+                weightCol=K.WEIGHT,
                 featuresCol="features",
                 predictionCol="prediction",
                 numTrees=num_trees,
@@ -70,8 +71,11 @@ def build_pipeline(num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, s
 
 
 def train(training: DataFrame, **options: int) -> PipelineModel:
-    """Fit on the feature columns. The frame is read several times, so pass a written one."""
-    return build_pipeline(**options).fit(training.select(*K.FEATURE_COLUMNS, K.TARGET))
+    """Fit on the feature columns; rows without a weight count once. The frame is read
+    several times, so pass a written one."""
+    if K.WEIGHT not in training.columns:
+        training = training.withColumn(K.WEIGHT, F.lit(1.0))
+    return build_pipeline(**options).fit(training.select(*K.FEATURE_COLUMNS, K.TARGET, K.WEIGHT))
 
 
 def pair_states(states: DataFrame, candidates: DataFrame, limit: int = K.CANDIDATE_LIMIT) -> DataFrame:

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -37,3 +40,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staged_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(*jobs: Callable) -> list:
+    """Run independent steps at the same time, so one's last tasks overlap another's
+    first ones. Results come back in the order given."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(job)) for job in jobs]]

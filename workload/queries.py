@@ -15,6 +15,7 @@ from starmill.operators import dims, facts, generate, mutate, profile, quality,
 from starmill.operators.joins import lookup_join
 from starmill.operators.keys import dense_key, ensure_unknown_member, member_key, next_key
 from starmill.plans import warehouse as load
+from starmill.plans.recommender import stage_training
 from starmill.plans.rollup import roll_up_addresses, user_addresses
 from starmill.recommend import catalog, features, model
 from starmill.sources import landing, names, publish, readers, staging, writers
@@ -44,7 +45,7 @@ def _users(spark, d):
 
 
 def _addresses(spark, d):
-    return dims.from_distinct(src.usuario(spark, d), load.ADDRESS_KEY, "enderecosk")
+    return load.load_addresses(src.usuario(spark, d))
 
 
 def _calendar(spark, d):
@@ -57,23 +58,23 @@ def _films(spark, d):
 
 
 def _revenue(spark, d):
-    _, user_map = _users(spark, d)
-    addresses = _addresses(spark, d)
-    users = staging.stage(
-        facts.user_lookup(src.usuario(spark, d), user_map, addresses, load.ADDRESS_KEY), "user-lookup"
+    (_, user_map), addresses, cal = staging.together(
+        lambda: _users(spark, d),
+        lambda: _addresses(spark, d),
+        lambda: staging.stage(_calendar(spark, d), "calendar"),
     )
-    cal = staging.stage(_calendar(spark, d), "calendar")
+    users = load.user_keys_of(src.usuario(spark, d), user_map, addresses)
     return facts.load_revenue(src.usrpagto(spark, d), users, cal), addresses
 
 
 def _ratings(spark, d):
-    _, user_map = _users(spark, d)
-    _, film_map = _films(spark, d)
-    producers, producer_map = load.load_producers(src.produtora(spark, d))
-    unknown = member_key(producers, "produtorask", "produtoranome", load.UNKNOWN_PRODUCER)
-    payer = staging.stage(facts.latest_payer(src.filmpagtoroy(spark, d)), "payer")
-    films = staging.stage(facts.film_lookup(film_map, payer, producer_map, unknown), "film-lookup")
-    cal = staging.stage(_calendar(spark, d), "calendar")
+    (_, user_map), (_, film_map), (producers, producer_map), cal = staging.together(
+        lambda: _users(spark, d),
+        lambda: _films(spark, d),
+        lambda: load.load_producers(src.produtora(spark, d)),
+        lambda: staging.stage(_calendar(spark, d), "calendar"),
+    )
+    films = load.film_keys_of(film_map, src.filmpagtoroy(spark, d), producers, producer_map)
     return facts.load_rating(src.avaliacao(spark, d), user_map, films, cal)
 
 
@@ -607,10 +608,9 @@ def user_home_state(spark, d):
 
 
 def _training(spark, d):
-    revenue, addresses = _revenue(spark, d)
-    states = staging.stage(features.user_state(revenue, addresses), "user-state")
-    films = _films(spark, d)[0]
-    return features.training_set(_ratings(spark, d), films, states)
+    warehouse = load.init_load(src.operational(spark, d), RUN_DATE)
+    states = staging.stage(features.user_state(warehouse["receita"], warehouse["endereco"]), "user-state")
+    return features.training_set(warehouse["avaliacao"], warehouse["filme"], states)
 
 
 @register("SELECT * FROM training")
@@ -627,7 +627,7 @@ def cross_score_topk(spark, d):
 @register()
 def recommend_model(spark, d):
     """The forest trained on all ratings, then every state and candidate scored and ranked."""
-    training = staging.stage(_training(spark, d), "training")
+    training = stage_training(_training(spark, d))
     return model.recommend(training, _candidates(spark, d), features.known_states(training))
 
 
