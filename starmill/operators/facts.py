@@ -41,8 +41,8 @@ def load_rating(ratings: DataFrame, user_map: DataFrame, films: DataFrame, cal:
         F.col("avaliacaodata").alias("datacompleta"),
     )
     joined = lookup_join(rows, user_map.select("usuarioid", "usuariosk"), "usuarioid")
-    joined = lookup_join(joined, films, "filmeid")
-    joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta")
+    joined = lookup_join(joined, films, "filmeid", skew_of=rows)
+    joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta", skew_of=rows)
     return joined.select("avaliacaosk", "nota", "usuariosk", "filmesk", "produtorask", "calendariosk")
 
 
@@ -63,7 +63,7 @@ def load_revenue(payments: DataFrame, users: DataFrame, cal: DataFrame) -> DataF
         F.col("datapagto").alias("datacompleta"),
     )
     joined = lookup_join(rows, users, "usuarioid")
-    joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta")
+    joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta", skew_of=rows)
     return joined.select("receitask", "valorpago", "usuariosk", "calendariosk", "enderecosk")
 
 

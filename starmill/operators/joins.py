@@ -67,15 +67,20 @@ def lookup_join(
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
+    skew_of: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup``, which must be unique in ``on``; ``inner`` or ``left``."""
+    """Join ``rows`` to ``lookup``, which must be unique in ``on``; ``inner`` or ``left``.
+
+    ``skew_of`` is the frame to look for hot keys in. In a chain of lookups it is the
+    unjoined fact, so the search reads one column instead of repeating earlier joins.
+    """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left"):
         raise ValueError("a lookup join is 'inner' or 'left'")
     if fits_broadcast(lookup, max_bytes):
         return rows.join(F.broadcast(lookup), on, how)
 
-    found = hot_keys(rows, on, hot_rows).collect()  # at most HOT_KEYS rows
+    found = hot_keys(rows if skew_of is None else skew_of, on, hot_rows).collect()  # at most HOT_KEYS rows
     if not found:
         return rows.join(lookup, on, how)
     schema = T.StructType([rows.schema[c] for c in on] + [T.StructField(_SALTS, T.IntegerType())])

@@ -23,7 +23,8 @@ def update_from(
     ``on`` maps target key columns to source key columns, ``assign`` maps target
     columns to source columns. A matched row takes the new value even when it is
     null; an unmatched row keeps the old one. A column the target lacks is added.
-    Source keys must be unique; ``validate`` checks that.
+    Source keys must be unique; ``validate`` checks that. The source is read several
+    times, so pass a written one.
     """
     keys = list(on)
     fresh = source.select(
@@ -51,6 +52,8 @@ def delete_using(
     where: Callable[[DataFrame, DataFrame], Column] | None = None,
 ) -> DataFrame:
     """Rows of the target that no source row with equal keys (and ``where``) matches."""
+    if where is None:
+        source = source.select(*on).distinct()
     other = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns])
     cond = F.lit(True)
     for c in on:

@@ -46,11 +46,11 @@ def check_coercion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_column: str | None = None) -> DataFrame:
     """Child values without a parent, with their number of rows; nulls pass.
 
-    Children are counted per value first, so a value with very many rows is one
-    row by the time it meets the parent.
+    Both sides are reduced to one row per value first, so a value with very many
+    rows is one row by the time the sides meet.
     """
     values = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    parents = parent.select(F.col(parent_column or column).alias(column))
+    parents = parent.select(F.col(parent_column or column).alias(column)).distinct()
     return values.join(parents, column, "left_anti")
 
 

@@ -35,7 +35,7 @@ def load_films(films: DataFrame, genres: DataFrame) -> tuple[DataFrame, DataFram
         F.col("anode_lancamento").alias("anodelancamento"),
         F.col("generofilme").alias("generonome"),
     )
-    return dim, keyed.select("filmeid", "filmesk")
+    return stage(dim, "films"), keyed.select("filmeid", "filmesk")
 
 
 def load_producers(producers: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -25,9 +25,9 @@ def user_state(revenue: DataFrame, addresses: DataFrame) -> DataFrame:
 def training_set(ratings: DataFrame, films: DataFrame, states: DataFrame) -> DataFrame:
     """Ratings with all features present; ``states`` comes from :func:`user_state`."""
     film_columns = films.select("filmesk", "filmenome", "anodelancamento", "duracaomin", "generonome")
-    rows = ratings.select("avaliacaosk", "usuariosk", "filmesk", TARGET)
-    rows = lookup_join(rows, states, "usuariosk")
-    rows = lookup_join(rows, film_columns, "filmesk", "left")
+    facts = ratings.select("avaliacaosk", "usuariosk", "filmesk", TARGET)
+    rows = lookup_join(facts, states, "usuariosk")
+    rows = lookup_join(rows, film_columns, "filmesk", "left", skew_of=facts)
     rows = coerce_numeric(rows, ["anodelancamento", "duracaomin", TARGET])
     return drop_nulls(rows, FEATURE_COLUMNS + [TARGET]).select(
         "avaliacaosk", "usuariosk", "filmesk", TARGET, "filmenome", *FEATURE_COLUMNS
