@@ -28,6 +28,10 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], name: str, start:
     placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = stage(placed.withColumn(_PLACE, F.monotonically_increasing_id()), f"key-{name}")
 
+    within = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1))
+    if len(staged.inputFiles()) <= 1:  # one range, so places are already dense
+        return staged.select((within + F.lit(start)).alias(name), *df.columns)
+
     part = F.shiftright(_PLACE, 33)
     counts = staged.groupBy(part.alias("_part")).count().collect()  # one row per partition
     bases, base = [], start
@@ -35,10 +39,6 @@ def dense_key(df: DataFrame, order_by: Sequence[str | Column], name: str, start:
         bases.append((row["_part"], base))
         base += row["count"]
 
-    within = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1))
-    if len(bases) <= 1:
-        key = within + F.lit(start)
-        return staged.select(key.alias(name), *df.columns)
     offsets = df.sparkSession.createDataFrame(bases, "_part bigint, _base bigint")
     keyed = staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
     return keyed.select((F.col("_base") + within).alias(name), *df.columns)

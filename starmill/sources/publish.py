@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill.operators.quality import assert_valid
 from starmill.schemas import Table
 from starmill.sources.names import check_name
+from starmill.sources.writers import create_schema
 
 
 def publish(
@@ -39,7 +40,7 @@ def publish(
     if tables:
         assert_valid(written, tables)
     if schema:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {check_name(schema)}")
+        create_schema(spark, schema, root)
         for name in written:
             point_table(spark, f"{schema}.{name}", written[name], f"{folder}/{name}")
     return written

@@ -14,8 +14,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """Create the schema unless it exists. ``location`` is a folder all executors share;
+    without one the warehouse folder of the session is used."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {check_name(schema)}{where}")
+
+
 def write_table(
-    df: DataFrame, *, schema: str, table_name: str, if_exists: str = "replace", fmt: str = "parquet"
+    df: DataFrame,
+    *,
+    schema: str,
+    table_name: str,
+    if_exists: str = "replace",
+    fmt: str = "parquet",
+    location: str | None = None,
 ) -> None:
     """Save as a catalogue table, creating its schema. ``replace``, ``append`` or ``fail``."""
     modes = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
@@ -23,7 +36,7 @@ def write_table(
         raise ValueError(f"if_exists must be one of {sorted(modes)}")
     check_name(schema)
     check_name(table_name, "table")
-    df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    create_schema(df.sparkSession, schema, location)
     df.write.format(fmt).mode(modes[if_exists]).saveAsTable(f"{schema}.{table_name}")
 
 
@@ -45,12 +58,15 @@ def export_tables(
 
 
 def create_namespace(
-    spark: SparkSession, schema: str, tables: Mapping[str, Table], fmt: str = "parquet"
+    spark: SparkSession,
+    schema: str,
+    tables: Mapping[str, Table],
+    fmt: str = "parquet",
+    location: str | None = None,
 ) -> None:
     """The schema and its empty typed tables. Spark keeps VARCHAR lengths on insert;
     keys and NOT NULL are checked by ``starmill.operators.quality``."""
-    check_name(schema)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    create_schema(spark, schema, location)
     for name, table in tables.items():
         check_name(name, "table")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({table.ddl()}) USING {fmt}")

@@ -730,7 +730,8 @@ def table_roundtrip(spark, d):
     """Replace-write a catalogue table from mixed-case columns and read it back in lower case."""
     supplier = src.table(spark, d, "supplier")
     mixed = supplier.toDF(*[c.upper() for c in supplier.columns])
-    writers.write_table(mixed, schema="starmill_probe", table_name="fornecedor")
+    where = staging.staged_path(spark, "tables")
+    writers.write_table(mixed, schema="starmill_probe", table_name="fornecedor", location=where)
     return readers.read_table(spark, "fornecedor", "starmill_probe")
 
 
@@ -738,7 +739,8 @@ def table_roundtrip(spark, d):
 def export_tables(spark, d):
     """Catalogue table to a folder of text files, read back."""
     dim = load.load_producers(src.produtora(spark, d))[0]
-    writers.write_table(dim, schema="starmill_probe", table_name="produtora")
+    where = staging.staged_path(spark, "tables")
+    writers.write_table(dim, schema="starmill_probe", table_name="produtora", location=where)
     folder = staging.staged_path(spark, "export")
     written = writers.export_tables(spark, "starmill_probe", ["Produtora"], folder)
     return readers.read_delimited(spark, written["Produtora"], dim.schema)
