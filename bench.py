@@ -2,6 +2,7 @@
 
 BENCH_SF_DIR  folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
+BENCH_RUNS    passes over the queries (default 2); the faster time of each counts
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -42,17 +44,18 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    Q.QUERIES["warehouse_load"](spark, folder).collect()  # warm the session
-    seconds = {}
-    for name in HEADLINE:
-        begin = time.perf_counter()
-        Q.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - begin, 3)
+    seconds: dict[str, float] = {}
+    for _ in range(runs):
+        for name in HEADLINE:
+            begin = time.perf_counter()
+            Q.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            took = round(time.perf_counter() - begin, 3)
+            seconds[name] = min(took, seconds.get(name, took))
     spark.stop()
     print(
         json.dumps(
             {
-                "metric": "headline_total",
+                "metric": f"headline_total_best_of_{runs}",
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,

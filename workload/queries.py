@@ -466,12 +466,14 @@ def drop_null_rows(spark, d):
     return relational.drop_nulls(basics, columns).select("tconst", *columns)
 
 
-@register("SELECT n_nationkey, n_name, n_regionkey, r_regionkey, r_name FROM nation JOIN region ON r_regionkey = n_regionkey")
+@register("""
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, n_nationkey, n_name, n_regionkey
+    FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def repeated_columns(spark, d):
     """A select-all join whose key name occurs twice; the first copy is kept."""
-    nation, region = src.table(spark, d, "nation"), src.table(spark, d, "region")
-    doubled = region.withColumn("n_regionkey", F.col("r_regionkey"))
-    joined = nation.join(doubled, nation["n_regionkey"] == doubled["n_regionkey"])
+    customer, nation = src.table(spark, d, "customer"), src.table(spark, d, "nation")
+    doubled = nation.withColumn("c_nationkey", F.col("n_nationkey"))
+    joined = customer.join(doubled, customer["c_nationkey"] == doubled["c_nationkey"])
     return names.drop_repeated_columns(joined)
 
 
@@ -770,17 +772,48 @@ def lake_sql(spark, d):
 
 
 @register("""
-    SELECT * FROM (VALUES ('ts', 'missing', 'date', NULL), ('event_id', 'retyped', 'int', 'bigint'),
-        ('value', 'added', NULL, 'double')) t(column_name, change, declared, found)
-    WHERE EXISTS (SELECT 1 FROM events)""")
+    SELECT *, (SELECT count(*) FROM events) AS n_rows
+    FROM (VALUES ('ts', 'missing', 'date', NULL), ('event_id', 'retyped', 'int', 'bigint'),
+        ('value', 'added', NULL, 'double')) t(column_name, change, declared, found)""")
 def schema_drift(spark, d):
-    """Columns of the events as written against a declaration that differs in three places."""
+    """The events as written, against a declaration that differs in three places; with their row count."""
     path = staging.staged_path(spark, "drift")
     src.table(spark, d, "events").select("event_id", "user_id", "value").write.parquet(path)
-    declared = schemas._table({"event_id": "int", "user_id": "long", "ts": "date"})
-    from starmill.sources.landing import refresh_schema
+    declared = schemas.Table(
+        (schemas.Column("event_id", "int"), schemas.Column("user_id", "long"), schemas.Column("ts", "date"))
+    )
+    frame, drift = landing.refresh_schema(spark, path, declared)
+    n_rows = frame.select(F.count(F.lit(1))).scalar()
+    return drift.withColumnRenamed("column", "column_name").withColumn("n_rows", n_rows)
+
 
-    return refresh_schema(spark, path, declared)[1].withColumnRenamed("column", "column_name")
+@register("""
+    SELECT 'title-akas' AS table_name, count(*) AS n_rows, 8 AS n_columns, CAST(NULL AS VARCHAR) AS checked,
+           CAST(NULL AS BIGINT) AS missing FROM orders
+    UNION ALL SELECT 'title-basics', count(*), 9, 'startYear', count(*) FILTER (p_size = 7) FROM part
+    UNION ALL SELECT 'title-crew', count(*), 3, NULL, NULL FROM supplier
+    UNION ALL SELECT 'title-episode', count(*), 4, 'episodeNumber',
+                     count(*) FILTER (CAST(floor(l_quantity) AS INTEGER) = 1) FROM lineitem
+    UNION ALL SELECT 'title-principals', count(*), 6, NULL, NULL FROM lineitem
+    UNION ALL SELECT 'title-ratings', count(DISTINCT l_partkey), 3, NULL, NULL FROM lineitem
+    UNION ALL SELECT 'name-basics', count(*), 6, 'deathYear', count(*) FROM customer""")
+def ingest_catalogue(spark, d):
+    """All seven landing files to typed tables; rows per table, and nulls of one number column."""
+    raw, target = staging.staged_path(spark, "landing"), staging.staged_path(spark, "brute")
+    paths = {}
+    for name, frame in src.landing_tables(spark, d).items():
+        paths[name] = f"{raw}/{name}"
+        frame.write.options(header=True, sep="\t", nullValue="\\N", quote="").csv(paths[name])
+    tables = landing.ingest_landing(spark, paths, schemas.CATALOGUE, target)
+    checked = {"title-basics": "startYear", "title-episode": "episodeNumber", "name-basics": "deathYear"}
+    nulls = [
+        quality.check_not_null(tables[name], [column]).select(
+            F.lit(name).alias("table_name"), F.col("column_name").alias("checked"), F.col("n_nulls").alias("missing")
+        )
+        for name, column in checked.items()
+    ]
+    found = nulls[0].unionByName(nulls[1]).unionByName(nulls[2])
+    return profile.profile_tables(tables).join(found, "table_name", "left")
 
 
 @register("""

@@ -7,10 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table. Its schema is read from the file once, then declared."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def usuario(spark: SparkSession, folder: str) -> DataFrame:
@@ -126,3 +134,41 @@ def title_ratings(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("tenths").cast("double") / 10).alias("averageRating"),
         (2 * F.col("units")).alias("numVotes"),
     )
+
+
+def landing_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All seven catalogue files as text, from tables of similar shape."""
+
+    def text(frame: DataFrame, **columns) -> DataFrame:
+        return frame.select(*[F.coalesce(c.cast("string"), F.lit("\\N")).alias(n) for n, c in columns.items()])
+
+    def code(prefix: str, c: str):
+        return F.concat(F.lit(prefix), F.col(c).cast("string"))
+
+    none = F.lit(None)
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    return {
+        "title-akas": text(
+            orders, titleId=code("tt", "o_custkey"), ordering=F.col("o_orderkey"), title=F.col("o_orderpriority"),
+            region=F.col("o_orderstatus"), language=none, types=none, attributes=none, isOriginalTitle=F.lit(0),
+        ),
+        "title-basics": title_basics(spark, folder),
+        "title-crew": text(
+            table(spark, folder, "supplier"), tconst=code("tt", "s_suppkey"), directors=code("nm", "s_nationkey"),
+            writers=none,
+        ),
+        "title-episode": text(
+            lines, tconst=code("tt", "l_orderkey"), parentTconst=code("tt", "l_partkey"),
+            seasonNumber=F.col("l_linenumber"), episodeNumber=F.nullif(F.col("l_quantity").cast("int"), F.lit(1)),
+        ),
+        "title-principals": text(
+            lines, tconst=code("tt", "l_orderkey"), ordering=F.col("l_linenumber"), nconst=code("nm", "l_suppkey"),
+            category=F.col("l_returnflag"), job=none, characters=F.col("l_linestatus"),
+        ),
+        "title-ratings": title_ratings(spark, folder),
+        "name-basics": text(
+            table(spark, folder, "customer"), nconst=code("nm", "c_custkey"), primaryName=F.col("c_name"),
+            birthYear=F.lit(1950) + F.col("c_nationkey"), deathYear=none, primaryProfession=F.col("c_mktsegment"),
+            knownForTitles=none,
+        ),
+    }
