@@ -1,0 +1,91 @@
+"""The pipelines as jobs over catalogue tables.
+
+    spark-submit … -m starmill generate  --target oper --root DIR [--scale 1]
+    spark-submit … -m starmill load      --source oper --target dw --root DIR [--run-date D]
+    spark-submit … -m starmill catalogue --landing DIR --brute DIR --out DIR
+    spark-submit … -m starmill recommend --warehouse dw --movies DIR --target recommender --out DIR
+    spark-submit … -m starmill rollup    --source oper --warehouse dw --predictions recommender.model_infer --root DIR
+    spark-submit … -m starmill export    --warehouse dw --folder DIR
+"""
+
+from __future__ import annotations
+
+import argparse
+import sys
+
+from pyspark.sql import SparkSession
+
+from starmill import schemas
+from starmill.plans import init_load, load_catalogue, rollup_and_predict, run_recommender
+from starmill.plans.company import SIZES, company
+from starmill.recommend import constants as K
+from starmill.sources.publish import publish
+from starmill.sources.readers import read_table
+from starmill.sources.writers import export_tables
+
+SOURCE_TABLES = ["usuario", "filme", "filme_generofilme", "produtora", "filmpagtoroy", "avaliacao", "usrpagto"]
+
+
+def generate(spark: SparkSession, a: argparse.Namespace) -> None:
+    sizes = {name: size * a.scale for name, size in SIZES.items()}
+    publish(spark, company(spark, **sizes), a.root, schema=a.target)
+
+
+def load(spark: SparkSession, a: argparse.Namespace) -> None:
+    source = {name: read_table(spark, name, a.source) for name in SOURCE_TABLES}
+    publish(spark, init_load(source, a.run_date), a.root, schemas.WAREHOUSE, schema=a.target)
+
+
+def catalogue(spark: SparkSession, a: argparse.Namespace) -> None:
+    landing = {name: f"{a.landing.rstrip('/')}/{name}.tsv" for name in schemas.CATALOGUE}
+    load_catalogue(spark, landing, a.brute, a.out)
+
+
+def recommend(spark: SparkSession, a: argparse.Namespace) -> None:
+    dw = [read_table(spark, name, a.warehouse) for name in ("avaliacao", "filme", "receita", "endereco")]
+    run_recommender(*dw, spark.read.parquet(a.movies), schema=a.target, out_path=a.out, num_trees=a.num_trees)
+
+
+def rollup(spark: SparkSession, a: argparse.Namespace) -> None:
+    dw = {name: read_table(spark, name, a.warehouse) for name in [*schemas.WAREHOUSE, "user_map"]}
+    users = read_table(spark, "usuario", a.source)
+    out = rollup_and_predict(
+        dw, users, spark.table(a.predictions), a.run_date, dw["user_map"], a.user_key, on_unmatched=a.on_unmatched
+    )
+    publish(spark, out, a.root, schemas.ROLLED_UP, schema=a.warehouse)
+
+
+def export(spark: SparkSession, a: argparse.Namespace) -> None:
+    export_tables(spark, a.warehouse, schemas.ROLLED_UP, a.folder)
+
+
+def parser() -> argparse.ArgumentParser:
+    top = argparse.ArgumentParser(prog="starmill")
+    jobs = top.add_subparsers(required=True)
+
+    def job(run, *required: str, **optional) -> None:
+        sub = jobs.add_parser(run.__name__)
+        sub.set_defaults(run=run)
+        for name in required:
+            sub.add_argument(f"--{name}", required=True)
+        for name, default in optional.items():
+            kind = type(default) if default is not None else str
+            sub.add_argument(f"--{name.replace('_', '-')}", default=default, type=kind)
+
+    job(generate, "target", "root", scale=1)
+    job(load, "source", "target", "root", run_date=None)
+    job(catalogue, "landing", "brute", "out")
+    job(recommend, "warehouse", "movies", "target", "out", num_trees=K.NUM_TREES)
+    job(rollup, "source", "warehouse", "predictions", "root", run_date=None, user_key="mapped", on_unmatched="fail")
+    job(export, "warehouse", "folder")
+    return top
+
+
+def main(argv: list[str] | None = None) -> int:
+    args = parser().parse_args(argv)
+    args.run(SparkSession.builder.appName("starmill").getOrCreate(), args)
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

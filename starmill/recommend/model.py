@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions import clip
@@ -30,9 +31,27 @@ OUTPUT_NAMES = {
 }
 
 
-def build_pipeline(num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, seed: int = K.SEED) -> Pipeline:
+def task_memory_mb(spark: SparkSession) -> int:
+    """A quarter of the memory one running task can count on, between 32 and 512 MB."""
+    conf = spark.sparkContext.getConf()
+    local = spark.sparkContext.master.startswith("local")
+    text = conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g").lower()
+    size = re.fullmatch(r"(\d+)([kmgt]?)b?", text)
+    scale = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024, "": 1 / 1024 / 1024}
+    total = int(size[1]) * scale[size[2]] if size else 1024
+    cores = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
+    return int(min(512, max(32, total / cores / 4)))
+
+
+def build_pipeline(
+    num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, seed: int = K.SEED, task_memory_mb: int = 256
+) -> Pipeline:
     """Standardised numbers and one-hot categories into a random forest.
 
+    Every running task may hold ``task_memory_mb`` of node statistics, so an
+    executor needs that much times its cores. More of it means fewer passes over
+    the training rows; the trees are the same.
+
     A category not seen in training encodes as all zeros: the indexer puts it in
     an extra last slot, and the encoder drops that slot.
     """
@@ -62,8 +81,7 @@ def build_pipeline(num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, s
                 featureSubsetStrategy="all",
                 subsamplingRate=1.0,
                 maxBins=256,
-                # Grow more nodes per pass over the data.
-                maxMemoryInMB=1024,
+                maxMemoryInMB=task_memory_mb,
                 seed=seed,
             ),
         ]
@@ -73,6 +91,7 @@ def build_pipeline(num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, s
 def train(training: DataFrame, **options: int) -> PipelineModel:
     """Fit on the feature columns; rows without a weight count once. The frame is read
     several times, so pass a written one."""
+    options.setdefault("task_memory_mb", task_memory_mb(training.sparkSession))
     if K.WEIGHT not in training.columns:
         training = training.withColumn(K.WEIGHT, F.lit(1.0))
     return build_pipeline(**options).fit(training.select(*K.FEATURE_COLUMNS, K.TARGET, K.WEIGHT))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill.operators.quality import assert_valid
 from starmill.schemas import Table
 from starmill.sources.names import check_name
+from starmill.sources.staging import together
 from starmill.sources.writers import create_schema
 
 
@@ -30,13 +31,16 @@ def publish(
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     folder = f"{root.rstrip('/')}/run={check_name(run_id, 'run')}"
-    written = {}
-    for name, frame in frames.items():
+
+    def write(name: str, frame: DataFrame) -> DataFrame:
         check_name(name, "table")
         declared = (tables or {}).get(name)
         frame = frame.select(*declared.names()) if declared else frame
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        written[name] = spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{folder}/{name}")
+
+    done = together(*[lambda n=name, f=frame: write(n, f) for name, frame in frames.items()])
+    written = dict(zip(frames, done))
     if tables:
         assert_valid(written, tables)
     if schema:

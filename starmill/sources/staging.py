@@ -46,5 +46,5 @@ def together(*jobs: Callable) -> list:
     """Run independent steps at the same time, so one's last tasks overlap another's
     first ones. Results come back in the order given."""
     inherit = inheritable_thread_target(SparkSession.active())
-    with ThreadPoolExecutor(len(jobs)) as pool:
+    with ThreadPoolExecutor(min(8, len(jobs))) as pool:
         return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]

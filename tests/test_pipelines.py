@@ -232,3 +232,7 @@ def test_equal_predictions_keep_candidate_order(spark, movies, rows):
     assert rows(out, "FilmeIMDbSK", "Estado", "tconst", "PredicaoModelo") == [
         (1, "RJ", "tt4", 5.0), (2, "RJ", "tt1", 5.0), (3, "SP", "tt4", 5.0), (4, "SP", "tt1", 5.0),
     ]
+
+
+def test_task_memory_follows_the_session(spark):
+    assert model.task_memory_mb(spark) == 256  # 8 GB for 8 cores in these tests
