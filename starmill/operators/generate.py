@@ -6,9 +6,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill.functions.text import _col
-from starmill.operators.joins import lookup_join
+from starmill.operators.joins import checked_broadcast, lookup_join
 from starmill.operators.keys import dense_key
 
 GOLDEN = 0.6180339887498949
@@ -35,7 +36,8 @@ def sample_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     pool = n_left * n_right
     n = min(n, pool)
     if n == 0:
-        return lefts.join(rights, F.lit(False)).select(F.lit(0).cast("bigint").alias("pair_id"), left_id, right_id)
+        schema = T.StructType([T.StructField("pair_id", T.LongType()), left.schema[left_id], right.schema[right_id]])
+        return spark.createDataFrame([], schema)
     step = stride(pool)
     i = F.col("pair_id")
     if n * step + seed < 2**63:
@@ -52,11 +54,13 @@ def sample_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
 
 
 def pick_subset(df: DataFrame, id_column: str, n: int, seed: int = 0) -> DataFrame:
-    """n whole rows, chosen by a seeded hash of a unique id. The hash is numbered in
-    key ranges, so a large n never meets in one task."""
-    hashed = df.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id_column)))
-    keyed = dense_key(hashed, ["_hash", id_column], "_n")
-    return keyed.filter(F.col("_n") <= n).select(*df.columns)
+    """n whole rows, chosen by a seeded hash of a unique id.
+
+    Only ids are sorted, in key ranges, so a large n never meets in one task.
+    """
+    hashed = df.select(id_column, F.xxhash64(F.lit(seed), F.col(id_column)).alias("_hash"))
+    picked = dense_key(hashed, ["_hash", id_column], "_n").filter(F.col("_n") <= n).select(id_column)
+    return df.join(checked_broadcast(picked), id_column, "left_semi")
 
 
 def pick_key(id_column: str | Column, n: int, seed: int = 0) -> Column:

@@ -29,7 +29,7 @@ def update_from(
     keys = list(on)
     fresh = source.select(
         *[F.col(on[k]).alias(k) for k in keys], *[F.col(s).alias(f"_new_{t}") for t, s in assign.items()]
-    ).filter(F.least(*[F.col(k).isNotNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNotNull())
+    ).na.drop(subset=keys)
     if validate and not check_unique(fresh, keys).isEmpty():
         raise ConstraintError(f"update source has several rows for one key {keys}")
     joined = lookup_join(target, fresh.withColumn("_matched", F.lit(True)), keys, "left")

@@ -7,29 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.operators.joins import lookup_join
+from starmill.operators.keys import dense_key
+
 _RANK = "_rank"
 # Spark cuts each group to k rows before the shuffle up to this k
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 EARLY_LIMIT = 1000
-PRESORT_SALTS = 64
 
 
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, rank: str | None = None
 ) -> DataFrame:
-    """The first k rows of each group. ``order`` should be total, so results repeat.
+    """The first k rows of each group, in a total order.
 
     Each task first cuts its part of a group to k rows, so a group that holds most
-    rows shuffles little. For a k beyond Spark's own early limit the groups are
-    first cut per salt.
+    rows shuffles little. For a k beyond Spark's early limit all rows are numbered
+    in key ranges instead, and the rank is the distance from the group's first.
     """
-    if k > EARLY_LIMIT:
-        salt = F.pmod(F.xxhash64(F.spark_partition_id(), *df.columns), F.lit(PRESORT_SALTS))
-        salted = df.withColumn("_salt", salt)
-        w = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = salted.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) <= k).drop(_RANK, "_salt")
-    w = Window.partitionBy(*group).orderBy(*order)
-    out = df.withColumn(_RANK, F.row_number().over(w)).filter(F.col(_RANK) <= k)
+    if k <= EARLY_LIMIT:
+        w = Window.partitionBy(*group).orderBy(*order)
+        ranked = df.withColumn(_RANK, F.row_number().over(w))
+    else:
+        keyed = dense_key(df, [*group, *order], "_n")
+        first = keyed.groupBy(*group).agg(F.min("_n").alias("_first"))
+        placed = lookup_join(keyed, first, list(group))
+        ranked = placed.select(*df.columns, (F.col("_n") - F.col("_first") + 1).cast("int").alias(_RANK))
+    out = ranked.filter(F.col(_RANK) <= k)
     return out.withColumnRenamed(_RANK, rank) if rank else out.drop(_RANK)
 
 

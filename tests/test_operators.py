@@ -173,6 +173,13 @@ def test_update_from(spark, rows):
         mutate.update_from(target, source.union(source), {"k": "id"}, {"v": "w"})
 
 
+def test_update_from_two_keys(spark, rows):
+    target = spark.createDataFrame([(1, "a", 10), (1, None, 20), (2, "b", 30)], "k int, g string, v int")
+    source = spark.createDataFrame([(1, "a", 5), (1, None, 6), (2, "x", 7)], "k int, g string, v int")
+    out = mutate.update_from(target, source, {"k": "k", "g": "g"}, {"v": "v"})
+    assert rows(out) == sorted([(1, "a", 5), (1, None, 20), (2, "b", 30)], key=repr)
+
+
 def test_delete_using(spark, rows):
     t = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "k int, g string")
     kept = mutate.group_representative(t, "g", "k")
