@@ -8,24 +8,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.functions.text import _col, strip_ws
+from starmill.functions.text import _col
 
-# The texts that count as a number. A bare cast would also take
-# '12d' and '12f', so the text is matched first.
-NUMBER_TEXT = r"(?i)\A[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\z"
-INTEGER_TEXT = r"\A[+-]?\d+\z"
+# How the text of a number starts, and forms that a cast accepts
+# although they are no numbers here ('12d', '12f', '0x1p3').
+NUMBER_START = r"(?i)\A[\s\x1c-\x1f]*[+-]?(\.?\d|inf)"
+CAST_ONLY_FORM = r"(?i)[\d.][df]|x"
 
 
 def to_numeric(c: Column | str) -> Column:
-    """Text to double; anything that is not a number gives null, never an error."""
-    text = strip_ws(c)
-    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
+    """Text to double; anything that is not a number gives null, never an error.
+
+    Most bad texts fail on their first character, before the costly failed cast.
+    """
+    text = _col(c)
+    number = text.try_cast("double")
+    return F.when(text.rlike(NUMBER_START) & number.isNotNull() & ~text.rlike(CAST_ONLY_FORM), number)
 
 
 def to_long(c: Column | str) -> Column:
     """Text to bigint; anything but an integer that fits gives null."""
-    text = strip_ws(c)
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+    return _col(c).try_cast("bigint")
 
 
 def nan_to_null(c: Column | str) -> Column:

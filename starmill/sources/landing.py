@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from starmill.functions import null_out, to_long, to_numeric
 from starmill.schemas import Table
 from starmill.sources.readers import read_tsv
+from starmill.sources.staging import together
 
 NULL_MARKER = "\\N"
 
@@ -41,14 +42,16 @@ def ingest_landing(
     ``fmt`` may be any installed source (``avro`` needs its package on the cluster).
     Typed columns let later range filters prune row groups.
     """
-    out = {}
-    for name, path in sources.items():
+
+    def ingest(name: str, path: str) -> DataFrame:
         table = tables[name]
         location = f"{target.rstrip('/')}/{name}"
         frame = typed(read_tsv(spark, path, table.names()), table, null_marker)
         frame.write.format(fmt).mode("overwrite").save(location)
-        out[name] = spark.read.format(fmt).schema(frame.schema).load(location)
-    return out
+        return spark.read.format(fmt).schema(frame.schema).load(location)
+
+    done = together(*[lambda n=name, p=path: ingest(n, p) for name, path in sources.items()])
+    return dict(zip(sources, done))
 
 
 def schema_diff(found: T.StructType, declared: T.StructType, spark: SparkSession) -> DataFrame:

@@ -16,7 +16,7 @@ def one(spark, value, kind, expr):
 def test_numbers_from_text(spark):
     cases = {
         "\\N": None, "": None, "12d": None, "12f": None, "1_0": None, "0x10": None, "NaN": None, "abc": None,
-        "1 2": None, " 12 ": 12.0, "\t7\n": 7.0, "1e3": 1000.0, "-.5": -0.5, "+3.": 3.0, "inf": math.inf,
+        "1 2": None, "0x1p3": None, "1.f": None, "1D": None, "1e400x": None, " 12 ": 12.0, "\t7\n": 7.0, "1e3": 1000.0, "-.5": -0.5, "+3.": 3.0, "inf": math.inf,
         "-Infinity": -math.inf, ".": None, None: None,
     }
     df = spark.createDataFrame([(k,) for k in cases], "v string")

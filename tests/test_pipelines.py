@@ -234,5 +234,15 @@ def test_equal_predictions_keep_candidate_order(spark, movies, rows):
     ]
 
 
+def test_forest_learns_genre_and_state(spark):
+    grade = {("Drama", "SP"): 5.0, ("Drama", "RJ"): 2.0, ("War", "SP"): 1.0, ("War", "RJ"): 4.0}
+    data = [(1990.0 + i % 20, 80.0 + i % 30, g, s, n) for i in range(60) for (g, s), n in grade.items()]
+    training = spark.createDataFrame(
+        data, "anodelancamento double, duracaomin double, generonome string, estado string, nota double"
+    )
+    scored = model.score(training.drop("nota").distinct(), model.train(training, num_trees=10)).collect()
+    assert scored and all(abs(r.predicaomodelo - grade[r.generonome, r.estado]) < 0.5 for r in scored)
+
+
 def test_task_memory_follows_the_session(spark):
     assert model.task_memory_mb(spark) == 256  # 8 GB for 8 cores in these tests

@@ -527,6 +527,14 @@ def profile_tables(spark, d):
     return profile.profile_tables({t: src.table(spark, d, t) for t in PROFILED})
 
 
+@register(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, least(5, count(*)) AS n_rows FROM {t}" for t in PROFILED))
+def first_rows(spark, d):
+    """The first five rows of each table, as counts, since which rows come first is open."""
+    heads = {t: profile.first_rows(src.table(spark, d, t)) for t in PROFILED}
+    return profile.profile_tables(heads).drop("n_columns")
+
+
 @register("SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def check_unique(spark, d):
     return quality.check_unique(src.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -626,11 +634,17 @@ def cross_score_topk(spark, d):
     return _model_infer(spark, d)
 
 
+def recommendations(spark, d, **options):
+    training, candidates = staging.together(
+        lambda: stage_training(_training(spark, d)), lambda: _candidates(spark, d)
+    )
+    return model.recommend(training, candidates, features.known_states(training), **options)
+
+
 @register()
 def recommend_model(spark, d):
     """The forest trained on all ratings, then every state and candidate scored and ranked."""
-    training = stage_training(_training(spark, d))
-    return model.recommend(training, _candidates(spark, d), features.known_states(training))
+    return recommendations(spark, d)
 
 
 # --- fixtures at scale -----------------------------------------------------------------------
