@@ -53,11 +53,11 @@ def load_addresses(users: DataFrame) -> DataFrame:
 
 
 def film_keys_of(
-    film_map: DataFrame, royalties: DataFrame, producers: DataFrame, producer_map: DataFrame
+    film_map: DataFrame, payer: DataFrame, producers: DataFrame, producer_map: DataFrame
 ) -> DataFrame:
     """(filmeid, filmesk, produtorask) for the rating rows, written once."""
     unknown = member_key(producers, "produtorask", "produtoranome", UNKNOWN_PRODUCER)
-    return stage(facts.film_lookup(film_map, facts.latest_payer(royalties), producer_map, unknown), "film-keys")
+    return stage(facts.film_lookup(film_map, payer, producer_map, unknown), "film-keys")
 
 
 def user_keys_of(users: DataFrame, user_map: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -76,15 +76,16 @@ def init_load(
     produtora, filmpagtoroy, avaliacao and usrpagto.
     """
     bounds = [(source["avaliacao"], "avaliacaodata"), (source["usrpagto"], "datapagto")]
-    (usuario, user_map), endereco, (films, film_map), (produtora, producer_map), calendario = together(
+    (usuario, user_map), endereco, (films, film_map), (produtora, producer_map), payer, calendario = together(
         lambda: load_users(source["usuario"]),
         lambda: load_addresses(source["usuario"]),
         lambda: load_films(source["filme"], source["filme_generofilme"]),
         lambda: load_producers(source["produtora"]),
+        lambda: stage(facts.latest_payer(source["filmpagtoroy"]), "payer"),
         lambda: stage(dims.calendar(bounds, run_date, weekday_style), "calendar"),
     )
     film_keys, user_keys = together(
-        lambda: film_keys_of(film_map, source["filmpagtoroy"], produtora, producer_map),
+        lambda: film_keys_of(film_map, payer, produtora, producer_map),
         lambda: user_keys_of(source["usuario"], user_map, endereco),
     )
     avaliacao, receita = together(

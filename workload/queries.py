@@ -13,7 +13,7 @@ from starmill.functions import (
 )
 from starmill.operators import dims, facts, generate, mutate, profile, quality, relational
 from starmill.operators.joins import lookup_join
-from starmill.operators.keys import dense_key, ensure_unknown_member, member_key, next_key
+from starmill.operators.keys import dense_key, ensure_unknown_member, next_key
 from starmill.plans import warehouse as load
 from starmill.plans.recommender import stage_training
 from starmill.plans.rollup import roll_up_addresses, user_addresses
@@ -68,13 +68,14 @@ def _revenue(spark, d):
 
 
 def _ratings(spark, d):
-    (_, user_map), (_, film_map), (producers, producer_map), cal = staging.together(
+    (_, user_map), film_map, (producers, producer_map), payer, cal = staging.together(
         lambda: _users(spark, d),
-        lambda: _films(spark, d),
+        lambda: dims.from_entity(src.filme(spark, d).select("filmeid"), "filmeid", "filmesk"),
         lambda: load.load_producers(src.produtora(spark, d)),
+        lambda: staging.stage(facts.latest_payer(src.filmpagtoroy(spark, d)), "payer"),
         lambda: staging.stage(_calendar(spark, d), "calendar"),
     )
-    films = load.film_keys_of(film_map, src.filmpagtoroy(spark, d), producers, producer_map)
+    films = load.film_keys_of(film_map, payer, producers, producer_map)
     return facts.load_rating(src.avaliacao(spark, d), user_map, films, cal)
 
 
