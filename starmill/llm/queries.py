@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import decontamination, jaccard_join, line_dedup, sentencepiece_codec, toxicity
+from starmill.llm import decontamination, jaccard_join, line_dedup, sentencepiece_codec, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,27 @@ PIECE_MODEL = os.environ.get("PIECE_MODEL", "file:///opt/tokenizers/piece_bpe_32
 @register()
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.token_digests(_table(spark, folder, "documents"), PIECE_MODEL)
+
+
+@register(
+    """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+win AS (SELECT doc_id, i, md5(x[2 * i + 1:2 * i + 400]) AS s FROM h, unnest(range(0, CAST(length(x) // 2 AS BIGINT) - 199)) AS r(i)),
+many AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS p FROM win SEMI JOIN many USING (s)),
+mark AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+span AS (SELECT doc_id, run, min(i) AS a, max(i) + 200 AS b FROM mark GROUP BY doc_id, run),
+gap AS (
+  SELECT h.doc_id, span.a, span.b, coalesce(lag(b) OVER (PARTITION BY h.doc_id ORDER BY a), 0) AS from_
+  FROM h JOIN span USING (doc_id)),
+kept AS (
+  SELECT h.doc_id, string_agg(x[2 * from_ + 1:2 * a], '' ORDER BY a) AS front, max(b) AS tail,
+         sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM h JOIN gap USING (doc_id) GROUP BY h.doc_id)
+SELECT h.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(front || x[2 * tail + 1:], x))) AS kept_sha256
+FROM h LEFT JOIN kept USING (doc_id)"""
+)
+def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.suffix_digests(_table(spark, folder, "documents"))
