@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.llm import decontamination, jaccard_join, line_dedup, sentencepiece_codec, suffix_dedup, toxicity
+from starmill.llm import (
+    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, suffix_dedup, token_counts, topk,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +146,48 @@ FROM h LEFT JOIN kept USING (doc_id)"""
 )
 def op1_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.suffix_digests(_table(spark, folder, "documents"))
+
+
+@register(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+         coalesce(CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))) AS BIGINT), 0) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5"""
+)
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").selectExpr("vec_id AS id", "embedding AS vector")
+    return topk.top_k(vectors, vectors.filter("id % 50 = 0"))
+
+
+@register()
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@register()
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_spans(_table(spark, folder, "documents"))
+
+
+@register(
+    r"""
+WITH d AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS text,
+         regexp_replace(coalesce(text, ''), '\n[^\n]*\z', '') AS shorter FROM documents),
+kept AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1),
+counted AS (
+  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(shorter, '[^\x20\x09-\x0D]+')) AS n FROM kept
+  UNION ALL
+  SELECT source, lang, 'words-2', len(regexp_extract_all(shorter, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM kept)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counted GROUP BY ALL"""
+)
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.corpus_totals(_table(spark, folder, "documents"))

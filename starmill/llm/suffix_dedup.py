@@ -10,8 +10,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.hashing import odd, signed, sliding_min, window_hashes
-from starmill.llm.repeats import JUDGED, ROWS, judged, local_rows
+from starmill.llm.hashing import odd, sliding_min, spread, window_hashes
+from starmill.llm.repeats import ROWS, buckets_for, judged, local_rows
 from starmill.llm.rows import identified, joined_bytes, pieces, table
 from starmill.sources.staging import stage
 
@@ -64,26 +64,23 @@ def cover(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     return dict(text=text, at=at - base, low=low - base, high=high - base, gram=gram)
 
 
-def _samples(batches):
+def _samples(buckets: int):
     """Round 1: each sampled suffix by its first bytes."""
-    for batch in batches:
-        key, rid, at = [], [], []
-        for part in pieces(batch, 2 << 20):
-            own = part.column("rid").to_numpy()
-            found = cover(*joined_bytes(part.column("body")))
-            key.append(signed(found["gram"]))
-            rid.append(own[found["text"]])
-            at.append(found["at"])
-        key = np.concatenate(key) if key else np.zeros(0, np.int64)
-        if len(key):
-            zero = np.zeros(len(key), np.int64)
-            for rows in local_rows(key, zero, np.concatenate(rid), np.concatenate(at)):
-                yield table(**rows)
 
+    def run(batches):
+        for batch in batches:
+            key, rid, at = [], [], []
+            for part in pieces(batch, 2 << 20):
+                own = part.column("rid").to_numpy()
+                found = cover(*joined_bytes(part.column("body")))
+                key.append(found["gram"])
+                rid.append(own[found["text"]])
+                at.append(found["at"])
+            key = np.concatenate([np.zeros(0, np.uint64), *key])
+            if len(key):
+                yield local_rows(key, np.zeros(len(key), np.uint64), np.concatenate(rid), np.concatenate(at), buckets)
 
-def _named(rows: DataFrame) -> DataFrame:
-    """Rows in order of their names, compared with their neighbours."""
-    return rows.repartition("key", "check").sortWithinPartitions("key", "check").mapInArrow(judged, JUDGED)
+    return run
 
 
 def _packed(batches):
@@ -106,8 +103,8 @@ def _opened(batches):
 class _Out:
     """Rows of several texts, given to the shuffle some hundred thousand at a time."""
 
-    def __init__(self):
-        self.parts, self.n = [], 0
+    def __init__(self, buckets: int):
+        self.parts, self.n, self.buckets = [], 0, buckets
 
     def add(self, rid, key, check, at):
         self.parts.append((key, check, np.full(len(key), rid, np.int64), at))
@@ -117,8 +114,8 @@ class _Out:
         if self.n > least:
             cols = [np.concatenate(c) for c in zip(*self.parts)]
             self.parts, self.n = [], 0
-            for rows in local_rows(*cols):
-                yield table(**rows)
+            key, check, rid, at = cols
+            yield local_rows(key, check, rid, at, self.buckets)
 
 
 def _cells(raw: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,51 +130,63 @@ def _cells(raw: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.repeat(at, many) * 8 + q), np.stack([at, low, high], 1)
 
 
-def _cell_names(batches):
-    """Round 2: the bytes that all suffixes of a cell have in common, and those that any of them has."""
-    out = _Out()
-    for rid, raw, marks in _opened(batches):
-        cells, _ = _cells(raw, marks)
-        h = window_hashes(raw, [CORE, HULL])
-        at, q = cells >> 3, cells & 7
-        begin = at - CELL * q
-        core = h[CORE][begin] ^ _tags()[q]
-        wide = (begin - CELL + 1 >= 0) & (begin + LENGTH <= len(raw))
-        # A cell at the edge of its text has a hull of its own.
-        alone = window_alone(rid, cells)
-        hull = np.where(wide, h[HULL][np.where(wide, begin - CELL + 1, 0)] if len(h[HULL]) else 0, alone)
-        out.add(rid, signed(core), signed(hull.astype(np.uint64)), cells)
-        yield from out.rows(200_000)
-    yield from out.rows(0)
+def _cell_names(buckets: int):
+    """Round 2: the bytes that all suffixes of a cell have in common, and those that any of them has.
+
+    The first is the key, so that cells which share it can be found, the second its check.
+    """
+
+    def run(batches):
+        out = _Out(buckets)
+        for rid, raw, marks in _opened(batches):
+            cells, _ = _cells(raw, marks)
+            h = window_hashes(raw, [CORE, HULL])
+            at, q = cells >> 3, cells & 7
+            begin = at - CELL * q
+            core = h[CORE][begin] ^ _tags()[q]
+            wide = (begin - CELL + 1 >= 0) & (begin + LENGTH <= len(raw))
+            # A cell at the edge of its text has a hull of its own.
+            hull = _alone(rid, cells)
+            if wide.any():
+                hull[wide] = h[HULL][begin[wide] - CELL + 1]
+            out.add(rid, core, hull, cells)
+            yield from out.rows(400_000)
+        yield from out.rows(0)
+
+    return run
 
 
 def _tags() -> np.ndarray:
     return np.array([odd(200 + k) for k in range(8)], np.uint64)
 
 
-def window_alone(rid: int, cells: np.ndarray) -> np.ndarray:
-    return (cells.astype(np.uint64) * odd(9)) ^ (np.uint64(rid & (1 << 64) - 1) * odd(10))
+def _alone(rid: int, cells: np.ndarray) -> np.ndarray:
+    return spread(cells.astype(np.uint64) * odd(9) + np.array([rid], np.int64).view(np.uint64) * odd(10))
 
 
-def _suffix_names(batches):
+def _suffix_names(buckets: int):
     """Round 3: every remaining suffix by its ``LENGTH`` bytes. ``marks``: cell * 4 + kind."""
-    out = _Out()
-    for rid, raw, marks in _opened(batches):
-        cells = marks >> 2
-        own, runs = _cells(raw, np.unique(cells >> 3))
-        h, check = window_hashes(raw, [LENGTH]), window_hashes(raw, [LENGTH], seed=1)
-        starts = []
-        by_sample = {}
-        for at, low, high in runs.tolist():
-            by_sample.setdefault(at, []).append((low, high))
-        for cell in cells.tolist():
-            first = (cell >> 3) - CELL * (cell & 7)
-            for low, high in by_sample.get(cell >> 3, ()):
-                starts.append(np.arange(max(low, first - CELL + 1), min(high, first) + 1))
-        p = np.unique(np.concatenate(starts)) if starts else np.zeros(0, np.int64)
-        out.add(rid, signed(h[LENGTH][p]), signed(check[LENGTH][p] >> np.uint64(32)), p)
-        yield from out.rows(200_000)
-    yield from out.rows(0)
+
+    def run(batches):
+        out = _Out(buckets)
+        for rid, raw, marks in _opened(batches):
+            cells = marks >> 2
+            own, runs = _cells(raw, np.unique(cells >> 3))
+            h, check = window_hashes(raw, [LENGTH]), window_hashes(raw, [LENGTH], seed=1)
+            starts = []
+            by_sample = {}
+            for at, low, high in runs.tolist():
+                by_sample.setdefault(at, []).append((low, high))
+            for cell in cells.tolist():
+                first = (cell >> 3) - CELL * (cell & 7)
+                for low, high in by_sample.get(cell >> 3, ()):
+                    starts.append(np.arange(max(low, first - CELL + 1), min(high, first) + 1))
+            p = np.unique(np.concatenate(starts)) if starts else np.zeros(0, np.int64)
+            out.add(rid, h[LENGTH][p], check[LENGTH][p], p)
+            yield from out.rows(400_000)
+        yield from out.rows(0)
+
+    return run
 
 
 def spans(n: int, marks: np.ndarray) -> np.ndarray:
@@ -226,17 +235,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     3. What is left, at the edges of repeated passages, is named suffix by suffix, together
        with one settled cell of each passage that it may repeat.
 
-    Names are 64-bit hashes where they exclude; a cell is settled by 64 bits among those that
-    share its core, a suffix by 96 bits. In each
-    round a name sends one row per batch to the shuffle, so a common passage fills no task.
+    Names are 64-bit hashes where they only exclude; a cell is settled by 64 bits for what it
+    has in common and 64 for all of it, a suffix by 128. In each round a name sends one
+    occurrence per batch to the shuffle, so a common passage fills no task.
     """
-    samples = _named(docs.select("rid", "body").mapInArrow(_samples, ROWS)).filter("several")
+    buckets = buckets_for(docs)
+    samples = judged(docs.select("rid", "body").mapInArrow(_samples(buckets), ROWS)).filter("several")
     marks = samples.groupBy("rid").agg(F.collect_list("at").alias("marks"))
     texts = docs.select("rid", "body").mapInArrow(_packed, "rid long, packed binary")
     texts = stage(texts.join(marks, "rid"), "suffix-texts")
 
     # kind 0: settled, 1: settled and the first of its cell's name, 2: alone
-    judged_cells = _named(texts.mapInArrow(_cell_names, ROWS))
+    judged_cells = judged(texts.mapInArrow(_cell_names(buckets), ROWS))
     kind = F.when(F.col("several"), F.col("first").cast("long")).otherwise(2)
     cells = stage(
         judged_cells.select(F.when(kind > 0, F.col("key")).alias("core"), "rid", "at", kind.alias("kind")), "cells"
@@ -245,8 +255,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     mixed = open_cells.groupBy("core").agg(F.count("*").alias("n"), F.max("kind").alias("most")).filter("n > 1 AND most = 2")
     needed = open_cells.join(mixed.select("core"), "core").select("rid", (F.col("at") * 4 + F.col("kind")).alias("mark"))
     left = needed.groupBy("rid").agg(F.collect_list("mark").alias("marks"))
-    rest = texts.select("rid", "packed").join(left, "rid").mapInArrow(_suffix_names, ROWS)
-    suffixes = _named(rest).filter("several").select("rid", (F.col("at") * 2 + 1).alias("mark"))
+    rest = texts.select("rid", "packed").join(left, "rid").mapInArrow(_suffix_names(buckets), ROWS)
+    suffixes = judged(rest).filter("several").select("rid", (F.col("at") * 2 + 1).alias("mark"))
 
     settled = cells.filter("kind < 2").select("rid", (F.col("at") * 2).alias("mark"))
     found = settled.unionByName(suffixes).groupBy("rid").agg(F.collect_list("mark").alias("marks"))
