@@ -23,7 +23,10 @@ def to_numeric(c: Column | str) -> Column:
     """
     text = _col(c)
     number = text.try_cast("double")
-    return F.when(text.rlike(NUMBER_START) & number.isNotNull() & ~text.rlike(CAST_ONLY_FORM), number)
+    endless = number.isin(float("inf"), float("-inf")) & ~text.rlike(r"(?i)inf")  # beyond a double
+    return F.when(
+        text.rlike(NUMBER_START) & number.isNotNull() & ~text.rlike(CAST_ONLY_FORM) & ~endless, number
+    )
 
 
 def to_long(c: Column | str) -> Column:

@@ -35,6 +35,7 @@ def sample_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     n_left, n_right = lefts.count(), rights.count()
     pool = n_left * n_right
     n = min(n, pool)
+    seed %= max(pool, 1)  # any seed is a place in the pool
     if n == 0:
         schema = T.StructType([T.StructField("pair_id", T.LongType()), left.schema[left_id], right.schema[right_id]])
         return spark.createDataFrame([], schema)

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmill.sources.staging import stage
+
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
 HOT_ROWS = 2_000_000
 
 _SALT, _SALTS = "_salt", "_salts"
@@ -21,8 +22,11 @@ _SALT, _SALTS = "_salt", "_salts"
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure the frame: rows times fixed width plus the bytes of its text.
 
-    Without text columns this is a plain count, answered from file footers.
+    Without text columns this is a plain count, answered from file footers. Arrays, maps and
+    structs have no such measure, so a frame with one does not count as small.
     """
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
+        return False
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     sizes = [F.count(F.lit(1)).alias("n")]
     sizes += [F.sum(F.octet_length(c)).alias(f"b{i}") for i, c in enumerate(text)]
@@ -36,15 +40,13 @@ def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS, max_keys: int = HOT_KEYS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, and how many salts each needs.
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key with more than ``hot_rows`` rows, and how many salts it needs.
 
-    Only the heaviest ``max_keys`` are returned; any other key then holds less than
-    1/``max_keys`` of the rows. This picks keys for salting and drops no rows.
+    There are at most rows / ``hot_rows`` of them.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    heaviest = counts.orderBy(F.desc("n")).limit(max_keys)
-    return heaviest.select(*on, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(_SALTS))
+    return counts.select(*on, F.ceil(F.col("n") / F.lit(hot_rows)).cast("int").alias(_SALTS))
 
 
 def _same_key(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
@@ -56,7 +58,7 @@ def _same_key(left: DataFrame, right: DataFrame, on: list[str]) -> Column:
 
 def _with_salts(df: DataFrame, on: list[str], hot: DataFrame) -> DataFrame:
     keys = hot.select(*[F.col(c).alias(f"_k_{c}") for c in on], _SALTS)
-    joined = df.join(F.broadcast(keys), _same_key(df, keys, on), "left")
+    joined = df.join(checked_broadcast(keys), _same_key(df, keys, on), "left")
     return joined.drop(*[f"_k_{c}" for c in on])
 
 
@@ -80,11 +82,9 @@ def lookup_join(
     if fits_broadcast(lookup, max_bytes):
         return rows.join(F.broadcast(lookup), on, how)
 
-    found = hot_keys(rows if skew_of is None else skew_of, on, hot_rows).collect()  # at most HOT_KEYS rows
-    if not found:
+    hot = stage(hot_keys(rows if skew_of is None else skew_of, on, hot_rows), "hot-keys")
+    if hot.isEmpty():
         return rows.join(lookup, on, how)
-    schema = T.StructType([rows.schema[c] for c in on] + [T.StructField(_SALTS, T.IntegerType())])
-    hot = rows.sparkSession.createDataFrame(found, schema)
 
     # The salt depends on row content and partition only, so a retried task
     # sends every row to the same place; copies in different files still spread.

@@ -17,6 +17,7 @@ def update_from(
     on: Mapping[str, str],
     assign: Mapping[str, str],
     validate: bool = True,
+    skew_of: DataFrame | None = None,
 ) -> DataFrame:
     """Overwrite target columns from the matching source row.
 
@@ -24,7 +25,7 @@ def update_from(
     columns to source columns. A matched row takes the new value even when it is
     null; an unmatched row keeps the old one. A column the target lacks is added.
     Source keys must be unique; ``validate`` checks that. The source is read several
-    times, so pass a written one.
+    times, so pass a written one. ``skew_of`` is passed on to the lookup.
     """
     keys = list(on)
     fresh = source.select(
@@ -32,7 +33,7 @@ def update_from(
     ).na.drop(subset=keys)
     if validate and not check_unique(fresh, keys).isEmpty():
         raise ConstraintError(f"update source has several rows for one key {keys}")
-    joined = lookup_join(target, fresh.withColumn("_matched", F.lit(True)), keys, "left")
+    joined = lookup_join(target, fresh.withColumn("_matched", F.lit(True)), keys, "left", skew_of=skew_of)
     matched = F.col("_matched").isNotNull()
     columns = [c for c in target.columns if c not in assign]
     new = {

@@ -55,7 +55,14 @@ def check_fk(child: DataFrame, column: str, parent: DataFrame, parent_column: st
 
 
 def check_table(df: DataFrame, table: Table, parents: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
-    """All declared constraints of a table as (check_name, column_name, violations)."""
+    """All declared constraints of a table as (check_name, column_name, violations).
+
+    ``parents`` gives the frame and key column of every table that a foreign key names; one
+    that is missing there raises, so no reference goes unchecked.
+    """
+    absent = sorted({p for _, p in table.foreign_keys} - set(parents or {}))
+    if absent:
+        raise ConstraintError(f"no frame to check references to {', '.join(absent)}")
 
     def total(check: str, column: str, violations: DataFrame) -> DataFrame:
         counted = violations.agg(F.count(F.lit(1)).alias("violations"))
@@ -72,20 +79,28 @@ def check_table(df: DataFrame, table: Table, parents: Mapping[str, tuple[DataFra
     if table.lengths():
         parts.append(spread("length", check_length(df, table.lengths()), "n_long"))
     for column, parent in table.foreign_keys:
-        if parents and parent in parents:
-            frame, parent_column = parents[parent]
-            parts.append(total("reference", column, check_fk(df, column, frame, parent_column)))
+        frame, parent_column = parents[parent]
+        parts.append(total("reference", column, check_fk(df, column, frame, parent_column)))
     return reduce(DataFrame.unionByName, parts)
 
 
-def assert_valid(frames: Mapping[str, DataFrame], tables: Mapping[str, Table]) -> None:
-    """Raise if any declared constraint of any given frame is violated."""
-    keyed = {n: (f, tables[n].primary_key[0]) for n, f in frames.items() if n in tables}
+def assert_valid(
+    frames: Mapping[str, DataFrame], tables: Mapping[str, Table], others: Mapping[str, DataFrame] | None = None
+) -> None:
+    """Raise if any declared constraint of any given frame is violated, or cannot be checked.
+
+    ``others`` are tables that are referred to but not checked themselves. A table is referred
+    to by its key of one column.
+    """
+    known = {**(others or {}), **frames}
+    keyed = {n: (f, tables[n].primary_key[0]) for n, f in known.items() if n in tables and len(tables[n].primary_key) == 1}
     checks = [
         check_table(frames[n], tables[n], keyed).select(F.lit(n).alias("table_name"), "*")
         for n in frames
         if n in tables
     ]
+    if not checks:
+        return
     broken = reduce(DataFrame.unionByName, checks).filter(F.col("violations") > 0)
     rows = broken.collect()  # at most one row per declared constraint
     if rows:

@@ -11,9 +11,8 @@ from starmill.operators.joins import lookup_join
 from starmill.operators.keys import dense_key
 
 _RANK = "_rank"
-# Spark cuts each group to k rows before the shuffle up to this k
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-EARLY_LIMIT = 1000
+# Up to this k Spark cuts each group to k rows before the shuffle.
+EARLY_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def top_k_per_group(
@@ -22,16 +21,18 @@ def top_k_per_group(
     """The first k rows of each group, in a total order.
 
     Each task first cuts its part of a group to k rows, so a group that holds most
-    rows shuffles little. For a k beyond Spark's early limit all rows are numbered
-    in key ranges instead, and the rank is the distance from the group's first.
+    rows shuffles little. For a k beyond the session's early limit all rows are numbered
+    in key ranges instead, and the rank is the distance from the group's first. Null is a
+    group like any other, in both ways.
     """
-    if k <= EARLY_LIMIT:
+    if k <= int(df.sparkSession.conf.get(EARLY_LIMIT, "1000")):
         w = Window.partitionBy(*group).orderBy(*order)
         ranked = df.withColumn(_RANK, F.row_number().over(w))
     else:
         keyed = dense_key(df, [*group, *order], "_n")
-        first = keyed.groupBy(*group).agg(F.min("_n").alias("_first"))
-        placed = lookup_join(keyed, first, list(group))
+        keyed = keyed.withColumn("_g", F.struct(*group))  # a struct is never null, so null groups meet
+        first = keyed.groupBy("_g").agg(F.min("_n").alias("_first"))
+        placed = lookup_join(keyed, first, "_g")
         ranked = placed.select(*df.columns, (F.col("_n") - F.col("_first") + 1).cast("int").alias(_RANK))
     out = ranked.filter(F.col(_RANK) <= k)
     return out.withColumnRenamed(_RANK, rank) if rank else out.drop(_RANK)
@@ -43,12 +44,16 @@ def distinct_on(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], value: str, by: str) -> DataFrame:
-    """Value of the row with the latest date per key; on one date the smallest value.
+    """Value of the row with the latest date or timestamp per key; at one time the smallest
+    value. Rows without a time come last.
 
-    Each task reduces its rows to one per key before the only shuffle.
+    The latest time per key and value is a hash aggregate on the map side; only its few rows
+    per key are compared as pairs.
     """
-    first = F.struct(-F.unix_date(by), F.col(value))
-    return df.groupBy(*keys).agg(F.min_by(value, first).alias(value))
+    moment = F.unix_micros(F.col(by).cast("timestamp"))
+    latest = df.groupBy(*keys, value).agg(F.max(moment).alias("_at"))
+    first = F.struct(F.coalesce(-F.col("_at"), F.lit(2**63 - 1)).alias("a"), F.col(value).alias("v"))
+    return latest.groupBy(*keys).agg(F.min_by(value, first).alias(value))
 
 
 def mode_by(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill.recommend.catalog import extract_movies
 from starmill.schemas import CATALOGUE
 from starmill.sources.landing import ingest_landing
-from starmill.sources.writers import write_parquet
 
 
 def load_catalogue(
@@ -23,5 +22,5 @@ def load_catalogue(
     """Ingest the named tab-separated files and write the movie extract."""
     tables = ingest_landing(spark, landing, CATALOGUE, brute_zone, fmt, null_marker)
     movies = extract_movies(tables["title-basics"], tables["title-ratings"])
-    write_parquet(movies, out_path)
+    movies.write.mode("overwrite").parquet(out_path)
     return tables, spark.read.schema(movies.schema).parquet(out_path)

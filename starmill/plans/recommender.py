@@ -9,22 +9,21 @@ from starmill.recommend import features
 from starmill.recommend.catalog import prepare_candidates
 from starmill.recommend.model import recommend
 from starmill.sources.staging import stage, together
-from starmill.sources.writers import write_parquet, write_table
+from starmill.sources.writers import write_table
 
 DEFAULT_TABLE_NAME = "model_infer"
 
 
-def stage_training(training: DataFrame) -> DataFrame:
-    """The forest's rows, written in as many parts as the cluster shuffles into.
+def stage_training(training: DataFrame, parts: int = K.TRAINING_PARTS, copies: int = K.MAX_COPIES) -> DataFrame:
+    """The forest's rows in ``parts`` parts, sorted within each.
 
-    Growing trees costs far more than reading rows, so few large parts would leave
-    cores idle. Rows are sorted within their part, because bagging goes by position
-    and equal input should give equal trees.
+    Bagging goes by part and position, so ``parts`` is a setting of the model like the seed:
+    equal rows, parts and seed give equal trees under any session. Choose it near the number
+    of cores. ``copies`` is explained at ``features.compact``.
     """
-    rows = features.compact(training)
-    tasks = int(training.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage(features.compact(training, copies), "training")
     columns = [*K.FEATURE_COLUMNS, K.TARGET, "copy"]
-    return stage(rows.repartition(tasks, *columns).sortWithinPartitions(*columns), "training")
+    return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
 def run_recommender(
@@ -38,19 +37,21 @@ def run_recommender(
     out_path: str | None = None,
     limit: int = K.CANDIDATE_LIMIT,
     top_k: int = K.TOP_K_PER_STATE,
+    parts: int = K.TRAINING_PARTS,
+    copies: int = K.MAX_COPIES,
     **model_options: int,
 ) -> DataFrame:
     """The source of each table is the caller's choice: catalogue, Parquet or text."""
     def assemble() -> DataFrame:
         states = stage(features.user_state(revenue, addresses), "user-state")
-        return stage_training(features.training_set(ratings, films, states))
+        return stage_training(features.training_set(ratings, films, states), parts, copies)
 
     training, candidates = together(assemble, lambda: stage(prepare_candidates(movies, limit), "candidates"))
     predictions = recommend(
-        training, candidates, features.known_states(training), limit, top_k, **model_options
+        training, candidates, features.known_states(training), top_k, **model_options
     )
     if schema:
         write_table(predictions, schema=schema, table_name=table_name)
     if out_path:
-        write_parquet(predictions, out_path)
+        predictions.write.mode("overwrite").parquet(out_path)
     return predictions

@@ -6,6 +6,7 @@ FEATURE_COLUMNS = NUMERIC_COLUMNS + CATEGORICAL_COLUMNS
 TARGET = "nota"
 WEIGHT = "weight"
 MAX_COPIES = 1000
+TRAINING_PARTS = 16
 TOP_K_PER_STATE = 25
 CANDIDATE_LIMIT = 400
 

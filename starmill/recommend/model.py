@@ -97,22 +97,17 @@ def train(training: DataFrame, **options: int) -> PipelineModel:
     return build_pipeline(**options).fit(training.select(*K.FEATURE_COLUMNS, K.TARGET, K.WEIGHT))
 
 
-def pair_states(states: DataFrame, candidates: DataFrame, limit: int = K.CANDIDATE_LIMIT) -> DataFrame:
-    """Every state with every candidate, and the candidate's place in best-first order.
+def pair_states(states: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Every state with every candidate given, and the candidate's place (from 0) in best-first order.
 
-    The candidates are a top-``limit`` list, so each state row expands by at most
-    ``limit``. States are spread first and the expansion keeps that partitioning,
-    so ranking per state needs no further shuffle.
+    Candidates may be any number: they are numbered in key ranges and stay spread. Each row
+    expands by the states, which are one row per state, so the pairs are made where the
+    candidates lie and ranking shuffles at most the best few per state and task.
     """
-    place = F.struct(
-        (-F.col("imdbavaliacao")).alias("a"), (-F.col("imdbnumvotos")).alias("b"), F.col("filmeimdbskraw").alias("c"),
-        F.struct(*candidates.columns).alias("row"),
-    )
-    listed = candidates.limit(limit).agg(F.array_sort(F.collect_list(place)).alias("all")).scalar()
-    tasks = int(states.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = states.select("estado").distinct().repartition(tasks, "estado")
-    pairs = spread.select("estado", F.posexplode(listed).alias("place", "film"))
-    return pairs.select("estado", "place", "film.row.*")
+    best = [F.desc("imdbavaliacao"), F.desc("imdbnumvotos"), F.asc("filmeimdbskraw")]
+    placed = dense_key(candidates, best, "place", start=0)
+    every = states.filter(F.col("estado").isNotNull()).agg(F.array_sort(F.collect_set("estado"))).scalar()
+    return placed.select(F.explode(every).alias("estado"), "place", *candidates.columns)
 
 
 def score(pairs: DataFrame, model: PipelineModel) -> DataFrame:
@@ -142,7 +137,6 @@ def recommend(
     training: DataFrame,
     candidates: DataFrame,
     states: DataFrame,
-    limit: int = K.CANDIDATE_LIMIT,
     top_k: int = K.TOP_K_PER_STATE,
     fit: Callable[..., PipelineModel] = train,
     **options: int,
@@ -153,4 +147,4 @@ def recommend(
     if states.isEmpty():
         raise ValueError("no state to predict for")
     model = fit(training, **options)
-    return rank_predictions(score(pair_states(states, candidates, limit), model), top_k)
+    return rank_predictions(score(pair_states(states, candidates), model), top_k)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.operators.quality import assert_valid
 from starmill.schemas import Table
@@ -14,6 +15,10 @@ from starmill.sources.staging import together
 from starmill.sources.writers import create_schema
 
 
+#: Folder of a root with one row per finished run.
+RUNS = "runs"
+
+
 def publish(
     spark: SparkSession,
     frames: Mapping[str, DataFrame],
@@ -21,13 +26,15 @@ def publish(
     tables: Mapping[str, Table] | None = None,
     schema: str | None = None,
     run_id: str | None = None,
+    others: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Full refresh of all frames.
 
     Every frame goes to a folder of its own under a new run, so a plan may read the
     previous run while the next is written. Declared constraints are checked on the
-    written rows; only then do the catalogue tables of ``schema`` point to the run.
-    A failure leaves the tables on the previous run.
+    written rows; only then is the run the current one of the root (see ``published``), in one
+    step for all frames. The catalogue tables of ``schema``, if one is named, are pointed to it
+    after that, one by one. A failure before leaves everything on the previous run.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     folder = f"{root.rstrip('/')}/run={check_name(run_id, 'run')}"
@@ -42,7 +49,9 @@ def publish(
     done = together(*[lambda n=name, f=frame: write(n, f) for name, frame in frames.items()])
     written = dict(zip(frames, done))
     if tables:
-        assert_valid(written, tables)
+        assert_valid(written, tables, others)
+    run = spark.range(1).select(F.lit(run_id).alias("run"), F.current_timestamp().alias("at"), _names(written).alias("names"))
+    run.coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/{RUNS}")
     if schema:
         create_schema(spark, schema, root)
         for name in written:
@@ -50,6 +59,17 @@ def publish(
     return written
 
 
+def _names(frames: Mapping[str, DataFrame]) -> Column:
+    return F.array(*[F.lit(n) for n in frames]).cast("array<string>")
+
+
+def published(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The frames of the latest run under the root, by name."""
+    root = root.rstrip("/")
+    last = spark.read.parquet(f"{root}/{RUNS}").agg(F.max(F.struct("at", "run", "names")).alias("r")).first()["r"]
+    return {n: spark.read.parquet(f"{root}/run={last['run']}/{n}") for n in last["names"]}
+
+
 def point_table(spark: SparkSession, full_name: str, frame: DataFrame, location: str) -> None:
     """Make the external table read the given folder."""
     if spark.catalog.tableExists(full_name):
@@ -58,5 +78,7 @@ def point_table(spark: SparkSession, full_name: str, frame: DataFrame, location:
             spark.sql(f"ALTER TABLE {full_name} SET LOCATION '{location}'")
             spark.catalog.refreshTable(full_name)
             return
+        if spark.catalog.getTable(full_name).tableType != "EXTERNAL":
+            raise ValueError(f"{full_name} holds its own data in another shape; drop it first")
         spark.sql(f"DROP TABLE {full_name}")
     spark.catalog.createTable(full_name, path=location, source="parquet")

@@ -18,9 +18,13 @@ def read_delimited(
     quote: str = '"',
     null_value: str | None = None,
     mode: str = "FAILFAST",
+    multiline: bool = False,
 ) -> DataFrame:
     """Delimited text with a header line.
 
+    ``multiline`` allows quoted values with line breaks; a file is then read by one task, so
+    keep such files small or many.
+
     ``enforceSchema`` is off, so the header is checked against the schema.
     A ``.gz`` file cannot be split; unpack large ones before reading.
     """
@@ -31,6 +35,7 @@ def read_delimited(
         .option("sep", sep)
         .option("quote", quote)
         .option("mode", mode)
+        .option("multiLine", multiline)
     )
     if quote:
         reader = reader.option("escape", quote)
@@ -45,10 +50,6 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     return read_delimited(spark, path, schema, sep="\t", quote="")
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def read_table(spark: SparkSession, table_name: str, schema: str | None = None) -> DataFrame:
     """Whole catalogue table with lower-case column names."""
     parts = ([schema] if schema else []) + table_name.split(".")

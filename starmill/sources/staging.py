@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -30,9 +31,32 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scope = "session"
+
+
+def _scope_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/starmill/{spark.sparkContext.applicationId}/{_scope}"
+
+
 def staged_path(spark: SparkSession, label: str) -> str:
-    app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark)}/starmill/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{_scope_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def run_scope(spark: SparkSession) -> Iterator[str]:
+    """What is staged inside belongs to one run and is removed at its end, also on failure.
+
+    Frames that read staged rows end with it, so write results within. Runs do not nest.
+    """
+    global _scope
+    before, _scope = _scope, f"run-{uuid.uuid4().hex[:12]}"
+    folder = _scope_dir(spark)
+    try:
+        yield folder
+    finally:
+        _scope = before
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -45,6 +69,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def together(*jobs: Callable) -> list:
     """Run independent steps at the same time, so one's last tasks overlap another's
     first ones. Results come back in the order given."""
+    if not jobs:
+        return []
     inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(min(8, len(jobs))) as pool:
         return [f.result() for f in [pool.submit(inherit(job)) for job in jobs]]

@@ -10,10 +10,6 @@ from starmill.schemas import Table
 from starmill.sources.names import check_name
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
-
-
 def create_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create the schema unless it exists. ``location`` is a folder all executors share;
     without one the warehouse folder of the session is used."""
@@ -46,10 +42,15 @@ def export_tables(
     """One output folder per catalogue table; returns where each went."""
     from starmill.sources.readers import read_table
 
+    return export_frames({name: read_table(spark, name, schema) for name in names}, folder, fmt)
+
+
+def export_frames(frames: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> dict[str, str]:
+    """One output folder per frame. Text with line breaks is quoted; read it with ``multiline``."""
     written = {}
-    for name in names:
+    for name, frame in frames.items():
         target = f"{folder.rstrip('/')}/{check_name(name, 'table').lower()}"
-        writer = read_table(spark, name, schema).write.mode("overwrite").format(fmt)
+        writer = frame.write.mode("overwrite").format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True).option("escape", '"')
         writer.save(target)

@@ -257,3 +257,40 @@ def test_subset_and_uniform(spark):
     assert {r.i for r in made} == set(range(1, 6)) and {r.k for r in made} == set(range(1, 8))
     assert {r.d for r in made} == {D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)}
     assert all(1 <= r.a <= 2 for r in made)
+
+
+def test_top_k_beyond_the_early_limit_keeps_null_groups(spark):
+    df = spark.range(6000).select((F.col("id") % 3).alias("g"), "id").withColumn("g", F.nullif("g", F.lit(2)))
+    for k in (3, 1500):
+        top = relational.top_k_per_group(df, ["g"], [F.desc("id")], k, rank="n")
+        assert {r.g: r["count"] for r in top.groupBy("g").count().collect()} == {0: k, 1: k, None: k}
+        assert {r.n for r in top.collect()} == set(range(1, k + 1))
+
+
+def test_any_seed_gives_all_pairs(spark):
+    left, right = spark.range(7).withColumnRenamed("id", "a"), spark.range(9).withColumnRenamed("id", "b")
+    for seed in (-5, 0, 10**20):
+        pairs = generate.sample_pairs(left, right, "a", "b", 50, seed=seed)
+        assert pairs.count() == pairs.distinct().count() == 50
+
+
+def test_nested_lookups_are_not_broadcast_by_guess(spark):
+    df = spark.range(10).select("id", F.array(F.lit(1.0)).alias("v"), F.struct("id").alias("s"))
+    assert not joins.fits_broadcast(df) and joins.fits_broadcast(df.select("id"))
+    assert joins.lookup_join(spark.range(20), df, "id").count() == 10
+
+
+def test_many_hot_keys_are_all_split(spark):
+    fact = spark.range(30_000).select((F.col("id") % 1500).alias("k"), "id")
+    assert joins.hot_keys(fact, ["k"], hot_rows=10).count() == 1500
+    lookup = spark.range(1500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = joins.lookup_join(fact, lookup, "k", max_bytes=0, hot_rows=10)
+    assert joined.count() == 30_000 and joined.filter("w <> 2 * k").isEmpty()
+
+
+def test_latest_by_takes_timestamps(spark):
+    df = spark.sql(
+        "SELECT 1 k, 'a' v, TIMESTAMP'2024-01-01 10:00' t UNION ALL SELECT 1, 'b', TIMESTAMP'2024-01-01 11:00'"
+        " UNION ALL SELECT 1, 'c', NULL UNION ALL SELECT 2, 'd', NULL"
+    )
+    assert {r.k: r.v for r in relational.latest_by(df, ["k"], "v", "t").collect()} == {1: "b", 2: "d"}

@@ -136,3 +136,13 @@ def test_together_keeps_order(spark):
     assert got == [3, 5]
     with pytest.raises(ZeroDivisionError):
         staging.together(lambda: 1, lambda: 1 / 0)
+
+
+def test_text_with_line_breaks_comes_back(spark, rows, tmp_path):
+    df = spark.createDataFrame([(1, 'two\nlines, "quoted"'), (2, None)], "produtorask long, produtoranome string")
+    where = writers.export_frames({"produtora": df}, str(tmp_path))
+    assert rows(readers.read_delimited(spark, where["produtora"], df.schema, multiline=True)) == rows(df)
+
+
+def test_no_jobs_together():
+    assert staging.together() == []
