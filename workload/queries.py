@@ -577,13 +577,22 @@ def check_coercion(spark, d):
     UNION ALL SELECT 'not_null', 'calendariosk', (SELECT count(*) - count(calendariosk) FROM f_receita)
     UNION ALL SELECT 'not_null', 'enderecosk', (SELECT count(*) - count(enderecosk) FROM f_receita)
     UNION ALL SELECT 'reference', 'enderecosk',
-        (SELECT count(DISTINCT enderecosk) FROM f_receita WHERE enderecosk NOT IN (SELECT enderecosk FROM d_estado))""")
+        (SELECT count(DISTINCT enderecosk) FROM f_receita WHERE enderecosk NOT IN (SELECT enderecosk FROM d_estado))
+    UNION ALL SELECT 'reference', 'usuariosk',
+        (SELECT count(DISTINCT usuariosk) FROM f_receita WHERE usuariosk NOT IN (SELECT usuariosk FROM d_usuario))
+    UNION ALL SELECT 'reference', 'calendariosk',
+        (SELECT count(DISTINCT calendariosk) FROM f_receita
+         WHERE calendariosk NOT IN (SELECT calendariosk FROM d_calendario))""")
 def check_revenue_table(spark, d):
     """All declared checks of the revenue fact, against the shrunk address table."""
     revenue, addresses = _revenue(spark, d)
     states = mutate.shrink_dimension(addresses, "estado", "enderecosk")
     revenue = staging.stage(revenue, "revenue")
-    return quality.check_table(revenue, schemas.WAREHOUSE["receita"], {"endereco": (states, "enderecosk")})
+    parents = {
+        "endereco": (states, "enderecosk"), "usuario": (_users(spark, d)[0], "usuariosk"),
+        "calendario": (_calendar(spark, d), "calendariosk"),
+    }
+    return quality.check_table(revenue, schemas.WAREHOUSE["receita"], parents)
 
 
 # --- catalogue and recommender ---------------------------------------------------------------
@@ -951,16 +960,15 @@ def model_predictions(spark, d):
     )
 
 
-@register("SELECT n_name AS estado, TRUE AS close FROM nation")
+@register("SELECT r_name AS estado, TRUE AS close FROM region")
 def model_learns(spark, d):
-    """A forest of thirty trees learns a known function of the part's size and the nation to 0.25."""
-    part, nation = src.table(spark, d, "part"), src.table(spark, d, "nation")
-    known = 1.0 + (F.col("n_nationkey") % 4) + F.when(F.col("p_size") > 25, 1).otherwise(0)
-    rows = part.select("p_size", "p_type").distinct().withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(24)))).join(
-        nation, F.col("k") == F.col("n_nationkey")
-    ).select(
+    """A forest of thirty trees learns a known function of the part's size and the region to 0.25."""
+    part, region = src.table(spark, d, "part"), src.table(spark, d, "region")
+    known = 1.0 + (F.col("r_regionkey") % 4) + F.when(F.col("p_size") > 25, 1).otherwise(0)
+    every = region.agg(F.collect_list(F.struct("r_regionkey", "r_name"))).scalar()  # five rows
+    rows = part.select("p_size", "p_type").distinct().select("*", F.inline(every)).select(
         F.lit(2000.0).alias("anodelancamento"), F.col("p_size").cast("double").alias("duracaomin"),
-        F.col("p_type").alias("generonome"), F.col("n_name").alias("estado"), known.alias("nota"),
+        F.col("p_type").alias("generonome"), F.col("r_name").alias("estado"), known.alias("nota"),
     )
     training = stage_training(rows)
     scored = model.score(rows, model.train(training, num_trees=30))
