@@ -13,7 +13,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from starmill.llm.hashing import odd, spread
+from starmill.llm.hashing import spread
 
 ROWS = "bucket int, blob binary"
 JUDGED = "key long, rid long, at long, first boolean, several boolean"
@@ -73,7 +73,7 @@ def local_rows(key: np.ndarray, check: np.ndarray, rid: np.ndarray, at: np.ndarr
     known = np.full(len(key), 2, np.int8)
     known[begin] = size > 1
     bits = np.uint64(64 - (buckets - 1).bit_length())
-    home = np.where(new, key, spread(at.view(np.uint64) * odd(3) + rid.view(np.uint64))) >> bits
+    home = np.where(new, spread(key ^ spread(check)), spread(at.view(np.uint64) ^ spread(rid.view(np.uint64)))) >> bits
     by = np.argsort(home, kind="stable")
     home = home[by].astype(np.int64)
     key, check, rid, at, known = key[by], check[by], rid[by], at[by], known[by]

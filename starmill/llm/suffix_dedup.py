@@ -21,7 +21,7 @@ GRAM = 32
 #: Suffixes that are named together in the second round.
 CELL = 32
 CORE, HULL = LENGTH - CELL + 1, LENGTH + CELL - 1
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -70,7 +70,7 @@ def _samples(buckets: int):
     def run(batches):
         for batch in batches:
             key, rid, at = [], [], []
-            for part in pieces(batch, 2 << 20):
+            for part in pieces(batch):
                 own = part.column("rid").to_numpy()
                 found = cover(*joined_bytes(part.column("body")))
                 key.append(found["gram"])
@@ -161,7 +161,7 @@ def _tags() -> np.ndarray:
 
 
 def _alone(rid: int, cells: np.ndarray) -> np.ndarray:
-    return spread(cells.astype(np.uint64) * odd(9) + np.array([rid], np.int64).view(np.uint64) * odd(10))
+    return spread(cells.astype(np.uint64) ^ spread(np.array([rid], np.int64).view(np.uint64)))
 
 
 def _suffix_names(buckets: int):

@@ -49,6 +49,17 @@ def test_edges_of_a_shared_passage(frame):
     assert got(suffix_dedup.suffix_digests(frame(pairs))) == brute(pairs)
 
 
+def test_copies_that_end_their_texts(frame):
+    """Passages at the very begin and end of texts, with ids and offsets in arithmetic rows."""
+    import random
+
+    r = random.Random(9)
+    passage = "".join(r.choices("abcdefgh ", k=400))
+    pairs = [(19 * k, "x" * (21 * (k % 7)) + passage[k % 40 :]) for k in range(120)]
+    pairs += [(5000 + 21 * k, passage[: 400 - 19 * (k % 5)] + "".join(r.choices("pq", k=k % 9))) for k in range(120)]
+    assert got(suffix_dedup.suffix_digests(frame(pairs))) == brute(pairs)
+
+
 def test_long_text_of_one_letter(frame):
     pairs = [(1, "a" * 700_000), (2, "b" * 199), (3, "b" * 200), (4, "b" * 201)]
     rows = {r.doc_id: r for r in suffix_dedup.suffix_digests(frame(pairs)).collect()}
