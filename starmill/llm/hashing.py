@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def spread(h: np.ndarray) -> np.ndarray:

@@ -43,7 +43,7 @@ def joined_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.nda
     return raw[offsets[0] : offsets[-1]] if len(offsets) else raw[:0], offsets - (offsets[0] if len(offsets) else 0)
 
 
-def pieces(batch: pa.RecordBatch, limit: int = 4 << 20, column: str = "body"):
+def pieces(batch: pa.RecordBatch, limit: int = 1 << 20, column: str = "body"):
     """The batch cut into runs of rows with about ``limit`` bytes of text each; a longer text stands alone."""
     sizes = batch.column(column)
     ends = joined_bytes(sizes)[1]
