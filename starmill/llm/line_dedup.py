@@ -174,7 +174,8 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """The rows of ``docs``, all columns, with repeated lines taken out of the text."""
     base = with_bitmaps(identified(docs, id_col, text_col, whole=True), min_chars)
     row = base.schema["row"].dataType.simpleString()
-    done = base.select("row", "body", "keep").mapInArrow(_rewritten, f"row {row}, kept string")
+    body = F.col(f"row.`{text_col}`").cast("binary").alias("body")  # the text moves once, within its row
+    done = base.select("row", body, "keep").mapInArrow(_rewritten, f"row {row}, kept string")
     fields = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != text_col]
     text = F.coalesce("kept", F.col(f"row.`{text_col}`")).alias(text_col)
     return done.select(*fields, text).select(*[F.col(f"`{c}`") for c in docs.columns])

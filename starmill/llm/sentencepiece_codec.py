@@ -112,7 +112,9 @@ def build(spec: Spec):
         unk = spec.pieces[spec.unk_id][0]
         model = models.BPE(vocab, _merges(spec), unk_token=unk, fuse_unk=True, byte_fallback=spec.byte_fallback)
     elif spec.model_type == UNIGRAM:
-        model = models.Unigram([(p, s) for p, s, _ in spec.pieces], spec.unk_id, spec.byte_fallback)
+        # Control pieces are never text: under a name with a blank, which the marker replaces, none matches.
+        names = [p if kind in (NORMAL, USER_DEFINED, BYTE) else f"{p} {k}" for k, (p, _, kind) in enumerate(spec.pieces)]
+        model = models.Unigram([(n, s) for n, (_, s, _) in zip(names, spec.pieces)], spec.unk_id, spec.byte_fallback)
     else:
         raise ValueError(f"model type {spec.model_type} is neither unigram nor BPE")
     tokenizer = Tokenizer(model)

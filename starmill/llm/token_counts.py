@@ -19,16 +19,17 @@ KEYS = ["source", "lang", "tokenizer"]
 MANIFEST = "batch string, folder string"
 
 
-def signed(docs: DataFrame, sign: int, versions: list[str], text_col: str = "text") -> DataFrame:
+def signed(docs: DataFrame, sign: int, versions: list[str], text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Deltas of documents that come (``sign`` 1) or go (-1): one row per document and version.
 
-    Null text has no token; null sources and languages are keys like any other.
+    Null text has no token; null sources and languages are keys like any other. ``keep`` names
+    columns that stay, for a join after the counting, which so moves no text.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     counts = [F.struct(F.lit(v).alias("tokenizer"), TOKENIZERS[v](text).alias("n")) for v in versions]
-    each = docs.select("source", "lang", F.explode(F.array(*counts)).alias("c"))
+    each = docs.select(*keep, "source", "lang", F.explode(F.array(*counts)).alias("c"))
     return each.select(
-        "source", "lang", "c.tokenizer", F.lit(sign).cast("long").alias("n_docs"),
+        *keep, "source", "lang", "c.tokenizer", F.lit(sign).cast("long").alias("n_docs"),
         (F.col("c.n") * sign).cast("long").alias("n_tokens"),
     )
 
@@ -99,11 +100,11 @@ def corpus_totals(docs: DataFrame, versions: list[str] = ("words-1", "words-2"),
     )
     cut = plain.withColumn("shorter", F.regexp_replace("text", r"(?s)\n[^\n]*\z", ""))
     first = plain.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("lead"))
-    later = cut.withColumn("sha", F.sha2("text", 256)).select("doc_id", "source", "lang", "shorter", "sha").join(first, "sha")
-    later = later.filter("NOT (doc_id <=> lead)").select("source", "lang", F.col("shorter").alias("text"))
+    gone = signed(cut.withColumn("sha", F.sha2("text", 256)), -1, versions, "shorter", keep=("doc_id", "sha"))
+    later = gone.join(first, "sha").filter("NOT (doc_id <=> lead)").drop("doc_id", "sha", "lead")
     load = signed(plain, 1, versions)
     store.commit("load", load)
     store.commit("last-line", revised(cut, "text", "shorter", versions))
-    store.commit("copies", signed(later, -1, versions))
+    store.commit("copies", later)
     store.commit("load", load)
     return store.totals()

@@ -125,7 +125,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     vectors are read once per block and only the best ``k`` of each task and query move.
     Components missing at the end of a shorter vector count as 0. Vectors that are null or hold
     a null or non-finite component, and rows without an id, take no part; of query rows with
-    one id the smallest vector counts, vector rows with one id stay rows of their own.
+    one id the smallest vector counts, vector rows with one id stay rows of their own. A score
+    beyond the range of a long takes its nearest end.
     """
     spark = vectors.sparkSession
     vectors = vectors.select(F.col("id").cast("long").alias("id"), "vector").dropna(subset=["id"])

@@ -19,12 +19,14 @@ STEM_BYTES = 4
 
 @dataclass(frozen=True)
 class Settings:
-    """``bits``: 2**bits hashed features, the bound of the model. ``prior``: weight of the
+    """``bits``: 2**bits hashed features, the bound of the model. ``sample``: labelled rows that
+    train it at most, those with the smallest hash of their id. ``prior``: weight of the
     Dirichlet prior in tokens. ``shrink``: standard errors taken off a log-odds ratio.
     ``drift``: score of a token that says nothing. ``cap``: most that one token can say. ``significance``: expected number of
     clean segments as good, up to which a segment is a toxic passage."""
 
     bits: int = 20
+    sample: int = 131_072
     prior: float = 2000.0
     shrink: float = 2.0
     drift: float = -0.5
@@ -168,15 +170,16 @@ def _best_segments(shared, how: Settings):
 
 
 def train(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Model:
-    """Fit on the labelled rows given. ``docs``: ``doc_id``, ``body``; ``labels``: ``doc_id``, ``label``.
+    """Fit on the labelled rows given, at most ``how.sample`` of them. ``docs``: ``doc_id``, ``body``; ``labels``: ``doc_id``, ``label``.
 
     Counts are sums over all training rows, at most 2**bits features by kind on the driver.
     The extreme-value law is fitted by moments to the best segments of clean rows; the last
     step maps log significance to a probability with a logistic curve over binned rows.
     """
     spark = docs.sparkSession
-    wanted = labels.select("doc_id", F.col("label").cast("int").alias("label")).dropna().dropDuplicates(["doc_id"])
-    rows = docs.join(wanted, "doc_id").select("body", "label")
+    known = labels.select("doc_id", F.col("label").cast("int").alias("label")).dropna().dropDuplicates(["doc_id"])
+    wanted = known.orderBy(F.xxhash64("doc_id")).limit(how.sample)  # ids and labels only, so small enough to send
+    rows = docs.join(F.broadcast(wanted), "doc_id").select("body", "label")
     weights = np.zeros((2, 1 << how.bits))
     counted = rows.mapInArrow(_counts(how.bits), "kind int, feature int, clean long, toxic long")
     summed = counted.groupBy("kind", "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))

@@ -28,7 +28,7 @@ def test_against_brute_force(spark, block):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(0, [2.0**30, 1.0]), (1, [2.0**20, 3.0]), (2, [2.0**20, 2.0 + 2**-8]), (3, [-1.0, 2.0])]
+    rows = [(0, [2.0**21, 1.0]), (1, [2.0**20, 3.0]), (2, [2.0**20, 2.0 + 2**-8]), (3, [-1.0, 2.0])]
     df = spark.createDataFrame(rows, "id long, vector array<double>")
     got = topk.top_k(df, df.filter("id = 0"))
     assert sorted(tuple(x) for x in got.collect()) == brute(rows, {0}, 5)
