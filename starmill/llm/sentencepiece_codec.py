@@ -139,9 +139,9 @@ def build(spec: Spec):
 
 
 #: Distinct words that a worker remembers; beyond that it starts afresh.
-REMEMBERED = 1 << 20
-#: Words that one thread encodes at a time.
-CHUNK = 2048
+REMEMBERED = 1 << 18
+#: Words that one thread encodes at a time, and threads of a worker unless RAYON_NUM_THREADS says otherwise.
+CHUNK, THREADS = 2048, 2
 
 
 class Codec:
@@ -182,6 +182,7 @@ class Codec:
         key = hashlib.sha256(model).hexdigest()
         if key not in cls._built:
             os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+            os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
             cls._built[key] = cls(model)
         return cls._built[key]
 
@@ -275,7 +276,7 @@ def _encoded(shared):
     def run(batches):
         codec = Codec.of(shared.value)
         for batch in batches:
-            for part in pieces(batch, 8 << 20):
+            for part in pieces(batch, 2 << 20):
                 texts = _texts(part.column("body"))
                 ids, ends, exact = codec.encode_arrays(texts)
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
