@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starmill.llm.hashing import GOLDEN, codes, lower_table, spread, words
 from starmill.llm.rows import identified, joined_bytes, pieces, table
+from starmill.sources.staging import stage
 
 #: ASCII characters that are not letters separate tokens; every other character belongs to one.
 SEPARATORS = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -95,15 +96,23 @@ def _cut(batch: pa.RecordBatch, values: np.ndarray):
         at += part.num_rows
 
 
-def log_odds(clean: np.ndarray, toxic: np.ndarray, how: Settings) -> np.ndarray:
-    """Log-odds ratio of each feature under a Dirichlet prior in proportion to its overall
-    use, moved towards zero by ``shrink`` standard errors."""
-    both = clean + toxic
-    prior = how.prior * both / max(both.sum(), 1.0) + 0.05
-    total = prior.sum()
-    t, c = toxic + prior, clean + prior
-    ratio = np.log(t / (toxic.sum() + total - t)) - np.log(c / (clean.sum() + total - c))
-    return np.sign(ratio) * np.maximum(0, np.abs(ratio) - how.shrink * np.sqrt(1 / t + 1 / c))
+def log_odds(summed: DataFrame, how: Settings) -> DataFrame:
+    """``kind``, ``feature``, ``weight``: log-odds ratio of each feature under a Dirichlet prior in
+    proportion to its overall use, moved towards zero by ``shrink`` standard errors. Features
+    that end at zero have no row, so little reaches the driver."""
+    totals = summed.groupBy("kind").agg(
+        F.sum("clean").alias("all_clean"), F.sum("toxic").alias("all_toxic"), F.count("*").alias("features")
+    )
+    prior = how.prior * (F.col("clean") + F.col("toxic")) / (F.col("all_clean") + F.col("all_toxic")) + 0.05
+    rows = summed.join(F.broadcast(totals), "kind")  # one row per kind
+    rows = rows.withColumn("t", F.col("toxic") + prior).withColumn("c", F.col("clean") + prior)
+    whole = how.prior + 0.05 * F.col("features")
+    ratio = F.log(F.col("t") / (F.col("all_toxic") + whole - F.col("t"))) - F.log(
+        F.col("c") / (F.col("all_clean") + whole - F.col("c"))
+    )
+    error = how.shrink * F.sqrt(1 / F.col("t") + 1 / F.col("c"))
+    weight = F.signum(ratio) * F.greatest(F.lit(0.0), F.abs(ratio) - error)
+    return rows.select("kind", "feature", weight.alias("weight")).filter("weight <> 0")
 
 
 def segments(score: np.ndarray) -> list[tuple[int, int, float]]:
@@ -172,7 +181,8 @@ def _best_segments(shared, how: Settings):
 def train(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Model:
     """Fit on the labelled rows given, at most ``how.sample`` of them. ``docs``: ``doc_id``, ``body``; ``labels``: ``doc_id``, ``label``.
 
-    Counts are sums over all training rows, at most 2**bits features by kind on the driver.
+    Counts are sums over all training rows; the driver sees the features with a weight, at most
+    2**bits by kind.
     The extreme-value law is fitted by moments to the best segments of clean rows; the last
     step maps log significance to a probability with a logistic curve over binned rows.
     """
@@ -183,11 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Mod
     weights = np.zeros((2, 1 << how.bits))
     counted = rows.mapInArrow(_counts(how.bits), "kind int, feature int, clean long, toxic long")
     summed = counted.groupBy("kind", "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    pdf = summed.toPandas()
-    for kind in (0, 1):
-        own = pdf[pdf["kind"] == kind]
-        if len(own):
-            weights[kind, own["feature"]] = log_odds(own["clean"].to_numpy(float), own["toxic"].to_numpy(float), how)
+    found = log_odds(stage(summed, "feature-counts"), how).toPandas()
+    weights[found["kind"].to_numpy(np.int64), found["feature"].to_numpy(np.int64)] = found["weight"].to_numpy(float)
     weights = weights.astype(np.float32)
     best = rows.mapInArrow(_best_segments(spark.sparkContext.broadcast(weights), how), "label int, best double, n long")
     # A table bounded by its bins: score in tenths up to a cap, length in powers of two.
