@@ -191,3 +191,18 @@ FROM counted GROUP BY ALL"""
 )
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.corpus_totals(_table(spark, folder, "documents"))
+
+
+@register(
+    r"""
+WITH counted AS (
+  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n
+  FROM documents
+  UNION ALL
+  SELECT source, lang, 'words-2', len(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))
+  FROM documents)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
+FROM counted GROUP BY ALL"""
+)
+def op2_whole_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.whole_totals(_table(spark, folder, "documents"))

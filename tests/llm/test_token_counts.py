@@ -51,3 +51,23 @@ def test_corpus(frame, odd_corpus, spark):
     assert got == dict(want)
     assert tc.corpus_totals(frame([])).count() == 0
     assert tc.corpus_totals(frame(odd_corpus)).count() > 0
+
+
+def test_whole_documents(frame, odd_corpus):
+    """Every row counts with its whole text: last lines, copies, repeated and null ids."""
+    import re
+
+    want = Counter()
+    for i, t in odd_corpus:
+        want[f"src{(i or 0) % 3}", "docs"] += 1
+        want[f"src{(i or 0) % 3}", "tokens"] += len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    got = Counter()
+    for r in tc.whole_totals(frame(odd_corpus)).filter("tokenizer = 'words-1'").collect():
+        got[r.source, "docs"], got[r.source, "tokens"] = r.n_docs, r.n_tokens
+    assert got == want
+    assert tc.whole_totals(frame([])).count() == 0
+
+
+def test_source_of_copies_only_stays(frame):
+    out = tc.whole_totals(frame([(0, "a\nb c"), (1, "a\nb c"), (4, "a\nb c")])).filter("tokenizer = 'words-1'")
+    assert {r.source: (r.n_docs, r.n_tokens) for r in out.collect()} == {"src0": (1, 3), "src1": (2, 6)}
