@@ -15,10 +15,10 @@ PATTERNS = {
         r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", 2, 8),
     "access": (r"AKIA[A-Z0-9]+", 0, 16),
     "hex": (r"[0-9a-f]+", 0, 32),
-    "id": (r"""(?i:(?:client_id|access_key_id|account_id|username|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{4,64})""", 0, 1),
+    "id": (r"""(?i:(?:client_id|access_key_id|account_id|username|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@-]{4,}+)""", 0, 1),
     "key": (
-        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,63}[0-9])(?=[a-z0-9+/_-]{0,63}[A-Z])(?=[A-Z0-9+/_-]{0,63}[a-z])"
-        r"[A-Za-z0-9+/_-]{16,64}(?![A-Za-z0-9+/_-])", 0, 16),
+        r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])"
+        r"[A-Za-z0-9+/_-]{16,}+", 0, 16),
     "endpoint": (r"""https?://[^\s"'<>]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b""", 0, 4),
 }
 #: What each part needs near it, by role, to be reported.

@@ -51,6 +51,19 @@ def test_weak_parts_count_only_together(frame):
     assert [TEXTS[6][int(a) : int(b)] for _, a, b in spans] == ["client_id=robot7", "Zx9kQ2mN8vB4tY7w", "https://api.example.com/v1"]
 
 
+def test_long_parts_are_linked_whole(frame):
+    """Keys and identifiers of any length: a storage account key has 86 characters before its padding."""
+    key, name, huge = "Zx9kQ2mN8vB4tY7w/+" * 5, "robot." * 20, "Zx9/" * 25_000
+    texts = [f"account_id={name} {key[:n]}== https://api.example.com/v1" for n in (64, 65, 86)]
+    texts += [f"account_id=robot7 {huge} https://api.example.com/v1"]
+    out = rows(frame, list(enumerate(texts)))
+    for i, n in enumerate((64, 65, 86)):
+        parts = [texts[i][int(a) : int(b)] for _, a, b in (s.split(":") for s in out[i].spans.split(","))]
+        assert parts == [f"account_id={name}", key[:n], "https://api.example.com/v1"]
+    far = [s.split(":") for s in out[3].spans.split(",")]  # the endpoint's scope ends before the identifier
+    assert [texts[3][int(a) : int(b)] for _, a, b in far] == ["account_id=robot7", huge]
+
+
 def test_odd_rows(frame, odd_corpus):
     assert secrets.secret_spans(frame(odd_corpus)).count() == len(odd_corpus)
     assert secrets.secret_spans(frame([])).count() == 0
