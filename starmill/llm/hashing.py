@@ -84,16 +84,20 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def lower_table(separators: bytes) -> np.ndarray:
-    """Byte map: A-Z to a-z, separators to 0, everything else as it is."""
+#: A code that no byte keeps once A-Z are lower-cased, for texts in which byte 0 is part of a word.
+UPPER = ord("A")
+
+
+def lower_table(separators: bytes, gap: int = 0) -> np.ndarray:
+    """Byte map: A-Z to a-z, separators to ``gap``, everything else as it is."""
     table = np.arange(256, dtype=np.uint8)
     table[ord("A") : ord("Z") + 1] += 32
-    table[np.frombuffer(separators, np.uint8)] = 0
+    table[np.frombuffer(separators, np.uint8)] = gap
     return table
 
 
-def words(raw: np.ndarray, table: np.ndarray, seed: int = 7) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and 64-bit hashes of the maximal runs of non-separators.
+def words(raw: np.ndarray, table: np.ndarray, seed: int = 7, gap: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of the maximal runs of bytes that ``table`` does not map to ``gap``.
 
     The text is hashed piece by piece, cut between words, so memory follows the
     longest word and not the text.
@@ -103,11 +107,11 @@ def words(raw: np.ndarray, table: np.ndarray, seed: int = 7) -> tuple[np.ndarray
     at = 0
     while at < len(raw):
         upto = min(len(raw), at + PIECE)
-        while upto < len(raw) and table[raw[upto]]:  # not inside a word
+        while upto < len(raw) and table[raw[upto]] != gap:  # not inside a word
             upto += 1
         low = table[raw[at:upto]]
         inside = np.zeros(len(low) + 2, np.int8)
-        inside[1:-1] = low != 0
+        inside[1:-1] = low != gap
         edge = np.diff(inside)
         begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if len(begin):
