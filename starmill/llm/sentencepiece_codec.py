@@ -162,10 +162,7 @@ class Codec:
             self.words.normalizer = normalizers.Sequence([])
             self.words.pre_tokenizer = pre_tokenizers.Sequence([])
         self.split = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        spelt = [self._piece_bytes(*p) for p in self.spec.pieces]
-        self.length = np.array([len(x) for x in spelt], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]])
-        self.surface = np.frombuffer(b"".join(spelt), np.uint8)
+        self.length = np.array([len(self._piece_bytes(*p)) for p in self.spec.pieces], np.int64)
         self._forget()
 
     def _piece_bytes(self, piece: str, _score: float, kind: int) -> bytes:
@@ -213,12 +210,6 @@ class Codec:
         self.flat = np.concatenate([self.flat, flat])
         self.ends = np.concatenate([self.ends, self.ends[-1] + upto])
 
-    def _spelled(self, ids: np.ndarray) -> np.ndarray:
-        """The bytes that ids stand for, one after another."""
-        size = self.length[ids]
-        total = np.concatenate([[0], np.cumsum(size)])
-        return self.surface[np.arange(total[-1]) + np.repeat(self.start[ids] - total[:-1], size)]
-
     def encode_arrays(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts one after another, the offsets of each text, and whether each decodes to itself.
 
@@ -243,17 +234,9 @@ class Codec:
         ends = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.arange(ends[-1]) + np.repeat(self.ends[place] - ends[:-1], size)]
         of_text = ends[np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)]
-        return ids, of_text, self._round_trip(texts, ids, of_text)
-
-    def _round_trip(self, texts: list[str], ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Whether the pieces of each text spell it, after the leading blank of the normaliser."""
-        spelled = self._spelled(ids).tobytes()
-        reach = np.concatenate([[0], np.cumsum(self.length[ids])])[ends]
-        lead = int(self.spec.add_dummy_prefix)
-        return np.array(
-            [spelled[a + (lead if t else 0) : b] == t.encode() for t, a, b in zip(texts, reach[:-1].tolist(), reach[1:].tolist())],
-            bool,
-        )
+        flat, cuts = ids.tolist(), of_text.tolist()
+        back = self.decode([flat[a:b] for a, b in zip(cuts[:-1], cuts[1:])])
+        return ids, of_text, np.array([a == b for a, b in zip(texts, back)], bool)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         ids, ends, _ = self.encode_arrays(texts)

@@ -102,3 +102,13 @@ def test_rows(frame, odd_corpus, model):
     assert back.columns == [*coded.columns, "decoded"]
     assert sorted(r.decoded for r in back.collect()) == sorted(t or "" for _, t in odd_corpus)
     assert sp.token_digests(frame([]), PIECE_MODEL).count() == 0
+
+
+def test_round_trip_is_that_of_the_decoder(model):
+    """A decoder that leaves the blank marks in place gives no text of two words back."""
+    from tokenizers import decoders
+
+    codec, texts = sp.Codec(model), ["two words", "one", "", "é 🎉  x"]
+    assert codec.encode_arrays(texts)[2].tolist() == [True] * 4
+    codec.tokenizer.decoder = decoders.Fuse()
+    assert codec.encode_arrays(texts)[2].tolist() == [False, False, True, False]
