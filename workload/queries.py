@@ -950,8 +950,8 @@ def model_one_hot(spark, d):
     SELECT estado, least(25, (SELECT count(*) FROM candidates)) AS n, TRUE AS in_range, TRUE AS in_order
     FROM (SELECT DISTINCT estado FROM training)""")
 def model_predictions(spark, d):
-    """What must hold for the picks of a real forest, whatever it predicts; ten trees show it."""
-    picks = staging.stage(recommendations(spark, d, num_trees=10), "picks")
+    """What must hold for the picks of a real forest, whatever it predicts; the forest is that of ``recommend_model``."""
+    picks = staging.stage(recommendations(spark, d), "picks")
     after = F.lag("PredicaoModelo").over(Window.partitionBy("Estado").orderBy("FilmeIMDbSK"))
     marked = picks.withColumn("falls", F.coalesce(after >= F.col("PredicaoModelo"), F.lit(True)))
     return marked.groupBy(F.col("Estado").alias("estado")).agg(
