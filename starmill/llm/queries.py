@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
-    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, suffix_dedup, token_counts, topk,
-    toxicity,
+    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, suffix_dedup, token_counts,
+    token_files, topk, toxicity,
 )
+from starmill.sources.staging import staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,3 +208,14 @@ FROM counted GROUP BY ALL"""
 )
 def op2_whole_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.whole_totals(_table(spark, folder, "documents"))
+
+
+#: Any tokenizers file whose words end at white space will do.
+WORD_MODEL = os.environ.get("WORD_MODEL", "file://" + public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register()
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = staged_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, folder, "documents"), WORD_MODEL, path)
+    return token_files.token_checks(spark, path)
