@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
-    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, suffix_dedup, token_counts,
-    token_files, topk, toxicity,
+    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, spelling, suffix_dedup,
+    token_counts, token_files, topk, toxicity,
 )
 from starmill.sources.staging import staged_path
 
@@ -18,6 +18,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+#: Unsigned crc32 of the UTF-8 bytes of a text, bit by bit.
+CRC32 = """xor(list_reduce(list_transform(range(0, CAST(8 * strlen({0}) AS BIGINT)), lambda k: CASE WHEN k % 8 = 0 THEN CAST(
+    16 * (strpos('0123456789ABCDEF', hex(encode({0}))[k // 4 + 1]) - 1)
+    + strpos('0123456789ABCDEF', hex(encode({0}))[k // 4 + 2]) - 1 AS BIGINT) ELSE CAST(0 AS BIGINT) END),
+    lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
 ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -219,3 +224,37 @@ def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = staged_path(spark, "token-files")
     token_files.write_tokens(_table(spark, folder, "documents"), WORD_MODEL, path)
     return token_files.token_checks(spark, path)
+
+
+@register(
+    rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all({ASCII_LOWER.format("coalesce(text, '')")}, '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+hashed AS (
+  SELECT run, c, {CRC32.format("key")} AS h
+  FROM (SELECT run, count(*) AS c, id || ':' || run AS key FROM runs GROUP BY id, run)),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3),
+short AS (
+  SELECT word, n, length(word) AS size, i, left(word, i) || substr(word, i + 2) AS rest FROM w, unnest(range(0, length(word))) AS r(i)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM short a JOIN short b USING (rest, i, size) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM w a JOIN short b ON a.word = b.rest
+  UNION SELECT b.word, b.n, a.word, a.n FROM w a JOIN short b ON a.word = b.rest),
+best AS (
+  SELECT word, CASE WHEN m >= 2 * n THEN other END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n,
+         count(*) OVER (PARTITION BY word) AS n_near
+  FROM near QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1),
+chain AS (
+  SELECT word, word AS tip, 0 AS step FROM w
+  UNION ALL SELECT chain.word, form, step + 1 FROM chain JOIN best ON best.word = chain.tip WHERE form IS NOT NULL),
+ends AS (SELECT word, arg_max(tip, step) AS root FROM chain GROUP BY word)
+SELECT w.word, form, root, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, form_n
+FROM w JOIN ends USING (word) LEFT JOIN best USING (word)"""
+)
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(_table(spark, folder, "documents"))
