@@ -9,10 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm import (
-    decontamination, jaccard_join, line_dedup, quality, secrets, sentencepiece_codec, spelling, suffix_dedup,
+    decontamination, jaccard_join, line_dedup, prefix_trie, quality, secrets, sentencepiece_codec, spelling, suffix_dedup,
     token_counts, token_files, topk, toxicity,
 )
-from starmill.sources.staging import staged_path
+from starmill.sources.staging import stage, staged_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -258,3 +258,36 @@ FROM w JOIN ends USING (word) LEFT JOIN best USING (word)"""
 )
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_groups(_table(spark, folder, "documents"))
+
+
+@register(
+    f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list([role, text] ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS ts FROM t GROUP BY conv_id),
+headed AS (SELECT *, {CRC32.format("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM own),
+built AS (
+  SELECT o.conv_id, list_concat(coalesce(b.ts, [])[1:o.h], o.ts[o.h + 1:]) AS ts
+  FROM headed o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+pre AS (
+  SELECT conv_id, d, sha256(CAST(to_json(ts[1:d]) AS VARCHAR)) AS key, sha256(CAST(to_json(ts[1:d - 1]) AS VARCHAR)) AS up,
+         CASE WHEN d > 0 THEN length(ts[d][2]) ELSE 0 END AS size, len(ts) = d AS ended
+  FROM built, unnest(range(0, len(ts) + 1)) AS r(d)),
+node AS (
+  SELECT key, d, any_value(up) AS up, any_value(size) AS size, min(conv_id) AS conv_id, count(*) AS n,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ended), '') AS ends
+  FROM pre GROUP BY key, d),
+kids AS (SELECT up AS key, d - 1 AS d, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (key, d)),
+below AS (
+  SELECT a.key, a.d, count(*) FILTER (c.n_children = 0) AS n_leaves, sum((c.n - 1) * c.size) AS saved
+  FROM full_ c JOIN pre p ON p.conv_id = c.conv_id AND p.d <= c.d JOIN full_ a ON a.key = p.key AND a.d = p.d
+  GROUP BY a.key, a.d)
+SELECT f.conv_id, CAST(f.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(f.ends) AS ends_sha256
+FROM full_ f JOIN below USING (key, d) LEFT JOIN node p ON f.d > 0 AND p.key = f.up AND p.d = f.d - 1"""
+)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = stage(prefix_trie.conversation_turns(_table(spark, folder, "conversations")), "turns")
+    return prefix_trie.prefix_trie(prefix_trie.with_shared_heads(turns))
