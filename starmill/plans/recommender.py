@@ -14,18 +14,6 @@ from starmill.sources.writers import write_table
 DEFAULT_TABLE_NAME = "model_infer"
 
 
-def stage_training(training: DataFrame, parts: int = K.TRAINING_PARTS, copies: int = K.MAX_COPIES) -> DataFrame:
-    """The forest's rows in ``parts`` parts, sorted within each.
-
-    Bagging goes by part and position, so ``parts`` is a setting of the model like the seed:
-    equal rows, parts and seed give equal trees under any session. Choose it near the number
-    of cores. ``copies`` is explained at ``features.compact``.
-    """
-    rows = stage(features.compact(training, copies), "training")
-    columns = [*K.FEATURE_COLUMNS, K.TARGET, "copy"]
-    return rows.repartition(parts, *columns).sortWithinPartitions(*columns)
-
-
 def run_recommender(
     ratings: DataFrame,
     films: DataFrame,
@@ -37,14 +25,12 @@ def run_recommender(
     out_path: str | None = None,
     limit: int = K.CANDIDATE_LIMIT,
     top_k: int = K.TOP_K_PER_STATE,
-    parts: int = K.TRAINING_PARTS,
-    copies: int = K.MAX_COPIES,
     **model_options: int,
 ) -> DataFrame:
     """The source of each table is the caller's choice: catalogue, Parquet or text."""
     def assemble() -> DataFrame:
         states = stage(features.user_state(revenue, addresses), "user-state")
-        return stage_training(features.training_set(ratings, films, states), parts, copies)
+        return stage(features.training_set(ratings, films, states), "training")
 
     training, candidates = together(assemble, lambda: stage(prepare_candidates(movies, limit), "candidates"))
     predictions = recommend(

@@ -4,9 +4,7 @@ NUMERIC_COLUMNS = ["anodelancamento", "duracaomin"]
 CATEGORICAL_COLUMNS = ["generonome", "estado"]
 FEATURE_COLUMNS = NUMERIC_COLUMNS + CATEGORICAL_COLUMNS
 TARGET = "nota"
-WEIGHT = "weight"
-MAX_COPIES = 1000
-TRAINING_PARTS = 16
+COUNT = "n_equal"
 TOP_K_PER_STATE = 25
 CANDIDATE_LIMIT = 400
 

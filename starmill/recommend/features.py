@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmill.functions import coerce_numeric
 from starmill.operators.joins import lookup_join
 from starmill.operators.relational import drop_nulls, mode_by, sorted_values
-from starmill.recommend.constants import FEATURE_COLUMNS, MAX_COPIES, TARGET, WEIGHT
+from starmill.recommend.constants import COUNT, FEATURE_COLUMNS, TARGET
 
 
 def user_state(revenue: DataFrame, addresses: DataFrame) -> DataFrame:
@@ -39,18 +39,10 @@ def known_states(training: DataFrame) -> DataFrame:
     return sorted_values(training, "estado")
 
 
-def compact(training: DataFrame, copies: int = MAX_COPIES) -> DataFrame:
-    """Training rows for the forest: features, target and weight.
+def compact(training: DataFrame) -> DataFrame:
+    """Training rows for the forest: the distinct features and target, and how many rows have them.
 
     Features are few distinct values, so popular films give the same row very many
-    times. Up to ``copies`` equal rows stay as they are, with weight 1. A larger
-    group becomes ``copies`` rows that share its full weight. Equal rows are counted
-    on the map side first, so a hot film does not load one task.
+    times. Equal rows are counted on the map side, so a hot film does not load one task.
     """
-    columns = [*FEATURE_COLUMNS, TARGET]
-    n = F.col("n")
-    kept = F.least(n, F.lit(copies))
-    counted = training.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return counted.select(
-        *columns, (n / kept).alias(WEIGHT), F.explode(F.sequence(F.lit(1).cast("bigint"), kept)).alias("copy")
-    )
+    return training.groupBy(*FEATURE_COLUMNS, TARGET).agg(F.count(F.lit(1)).alias(COUNT))

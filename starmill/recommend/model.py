@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.functions import clip
 from starmill.operators.keys import dense_key
+from starmill.operators.profile import exact_quantiles
 from starmill.operators.relational import top_k_per_group
 from starmill.recommend import constants as K
+from starmill.recommend import features, forest
 from starmill.schemas import PREDICTION_STAGING
 from starmill.sources.staging import stage
 
+#: Values of a feature that can be told apart.
+MAX_BINS = 256
+
 # Output name of each ranked column.
 OUTPUT_NAMES = {
     "filmenome": "FilmeNome",
@@ -31,7 +36,7 @@ OUTPUT_NAMES = {
 }
 
 
-def task_memory_mb(spark: SparkSession) -> int:
+def default_task_memory_mb(spark: SparkSession) -> int:
     """A quarter of the memory one running task can count on, between 32 and 512 MB."""
     conf = spark.sparkContext.getConf()
     local = spark.sparkContext.master.startswith("local")
@@ -43,20 +48,20 @@ def task_memory_mb(spark: SparkSession) -> int:
     return int(min(512, max(32, total / cores / 4)))
 
 
-def build_pipeline(
-    num_trees: int = K.NUM_TREES, max_depth: int = K.MAX_DEPTH, seed: int = K.SEED, task_memory_mb: int = 256
-) -> Pipeline:
-    """Standardised numbers and one-hot categories into a random forest.
-
-    Every running task may hold ``task_memory_mb`` of node statistics, so an
-    executor needs that much times its cores. More of it means fewer passes over
-    the training rows; the trees are the same.
+def build_pipeline(buckets: dict[str, list[float]] | None = None) -> Pipeline:
+    """Standardised numbers and one-hot categories, as the features of the forest.
 
     A category not seen in training encodes as all zeros: the indexer puts it in
-    an extra last slot, and the encoder drops that slot.
+    an extra last slot, and the encoder drops that slot. ``buckets`` names number columns that the
+    forest sees in ranges.
     """
     indexed = [f"{c}_index" for c in K.CATEGORICAL_COLUMNS]
     hot = [f"{c}_hot" for c in K.CATEGORICAL_COLUMNS]
+    buckets = buckets or {}
+    ranged = [f"{c}_range" for c in buckets]
+    bucketed = [
+        Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=c, outputCol=out) for (c, cuts), out in zip(buckets.items(), ranged)
+    ]
     return Pipeline(
         stages=[
             VectorAssembler(inputCols=K.NUMERIC_COLUMNS, outputCol="numbers"),
@@ -68,33 +73,51 @@ def build_pipeline(
                 stringOrderType="alphabetAsc",
             ),
             OneHotEncoder(inputCols=indexed, outputCols=hot, dropLast=True),
-            VectorAssembler(inputCols=["scaled", *hot], outputCol="features"),
-            RandomForestRegressor(
-                labelCol=K.TARGET,
-                weightCol=K.WEIGHT,
-                featuresCol="features",
-                predictionCol="prediction",
-                numTrees=num_trees,
-                maxDepth=max_depth,
-                # A node that splits then has at least ten rows.
-                minInstancesPerNode=5,
-                featureSubsetStrategy="all",
-                subsamplingRate=1.0,
-                maxBins=256,
-                maxMemoryInMB=task_memory_mb,
-                seed=seed,
-            ),
+            *bucketed,
+            VectorAssembler(inputCols=[*ranged, *hot] if len(ranged) == len(K.NUMERIC_COLUMNS) else ["scaled", *ranged, *hot],
+                            outputCol=forest.FEATURES),
         ]
     )
 
 
-def train(training: DataFrame, **options: int) -> PipelineModel:
-    """Fit on the feature columns; rows without a weight count once. The frame is read
-    several times, so pass a written one."""
-    options.setdefault("task_memory_mb", task_memory_mb(training.sparkSession))
-    if K.WEIGHT not in training.columns:
-        training = training.withColumn(K.WEIGHT, F.lit(1.0))
-    return build_pipeline(**options).fit(training.select(*K.FEATURE_COLUMNS, K.TARGET, K.WEIGHT))
+def wide_numbers(rows: DataFrame, most: int) -> dict[str, list[float]]:
+    """Range limits for the number columns with more than ``most`` distinct values: exact quantiles.
+
+    A learner that meets more values than it has bins takes its splits from a sample that goes by
+    partition; ranges that each hold many rows leave nothing to the sample.
+    """
+    counts = rows.agg(*[F.countDistinct(c).alias(c) for c in K.NUMERIC_COLUMNS]).first()
+    wide = [c for c in K.NUMERIC_COLUMNS if counts[c] > most]
+    if not wide:
+        return {}
+    found = exact_quantiles(rows, wide, [k / most for k in range(1, most)]).collect()  # ``most`` rows a column
+    return {c: sorted({r["value"] for r in found if r["column_name"] == c}) for c in wide}
+
+
+def train(
+    training: DataFrame,
+    num_trees: int = K.NUM_TREES,
+    max_depth: int = K.MAX_DEPTH,
+    seed: int = K.SEED,
+    parts: int | None = None,
+    task_memory_mb: int | None = None,
+) -> PipelineModel:
+    """Fit on the feature columns. The frame is read several times, so pass a written one.
+
+    Equal rows are counted first and stay one row. Every running task may hold
+    ``task_memory_mb`` of node statistics; more of it means fewer passes over the training rows, the trees
+    are the same. ``parts`` is the number of tasks of a pass, by the number of rows unless given; it does not change the picks.
+    """
+    spark = training.sparkSession
+    rows = stage(features.compact(training), "training-rows")
+    prepared = build_pipeline(wide_numbers(rows, MAX_BINS - 1)).fit(training.select(*K.FEATURE_COLUMNS))
+    hashed = F.xxhash64(*K.FEATURE_COLUMNS, K.TARGET).alias(forest.ROW)
+    points = prepared.transform(rows).select(forest.FEATURES, K.TARGET, F.col(K.COUNT).alias(forest.COUNT), hashed)
+    grown = forest.grow(
+        stage(points, "training-points"), K.TARGET, num_trees, max_depth, seed, max_bins=MAX_BINS, parts=parts,
+        task_memory_mb=task_memory_mb or default_task_memory_mb(spark),
+    )
+    return PipelineModel([*prepared.stages, grown])
 
 
 def pair_states(states: DataFrame, candidates: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """The four pipelines on a hand-made company."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from starmill import schemas
 from starmill.operators.quality import ConstraintError, check_fk
 from starmill.plans import init_load, load_catalogue, rollup_and_predict, run_recommender
-from starmill.recommend import catalog, features, model
+from starmill.recommend import catalog, features, forest, model
 from starmill.sources.publish import publish
 
 D = dt.date
@@ -128,13 +129,57 @@ def test_training_set(warehouse, rows):
     assert [r.estado for r in features.known_states(out).collect()] == ["RJ", "SP"]
 
 
-def test_compact_keeps_weight(spark):
+def test_compact_counts_equal_rows(spark):
     df = spark.range(30).select(
         F.lit(2000.0).alias("anodelancamento"), F.lit(90.0).alias("duracaomin"), F.lit("g").alias("generonome"),
         F.when(F.col("id") < 25, "SP").otherwise("RJ").alias("estado"), F.lit(4.0).alias("nota"),
     )
-    out = features.compact(df, 10).groupBy("estado").agg(F.count("*").alias("n"), F.sum("weight").alias("w"), F.max("weight").alias("m"))
-    assert {r.estado: (r.n, round(r.w, 9), r.m) for r in out.collect()} == {"SP": (10, 25.0, 2.5), "RJ": (5, 5.0, 1.0)}
+    assert {r.estado: r.n_equal for r in features.compact(df).collect()} == {"SP": 25, "RJ": 5}
+
+
+def test_poisson_draws(spark):
+    """Mean and variance of the draws, small means and large ones; the same draw for the same parts."""
+    for mean in (0.5, 1.0, 29.0, 31.0, 500.0):
+        drawn = spark.range(40000).select(forest.poisson(F.lit(mean), F.col("id"), F.lit(7)).alias("w"), "id")
+        got = drawn.agg(F.avg("w").alias("m"), F.var_samp("w").alias("v"), F.min("w").alias("lo")).first()
+        assert abs(got.m - mean) < 5 * (mean / 40000) ** 0.5 and abs(got.v / mean - 1) < 0.06 and got.lo >= 0
+    zero = spark.range(40000).filter(forest.poisson(F.lit(1.0), F.col("id"), F.lit(1)) == 0).count()
+    assert abs(zero / 40000 - 0.3679) < 0.01
+
+
+def test_picks_do_not_depend_on_parts_or_order(spark):
+    r = random.Random(4)
+    data = [(1900.0 + r.randrange(400) / 3, 60.0 + r.randrange(90), r.choice("abc"), r.choice("xyz"), float(r.randrange(1, 6))) for _ in range(3000)]
+    columns = "anodelancamento double, duracaomin double, generonome string, estado string, nota double"
+    probe = spark.createDataFrame(data, columns).drop("nota").distinct()
+
+    def scores(rows, slices, **options):
+        fitted = model.train(spark.createDataFrame(rows, columns).repartition(slices), num_trees=5, **options)
+        return {tuple(x)[:4]: round(x.predicaomodelo, 9) for x in model.score(probe, fitted).collect()}
+
+    one = scores(data, 1, parts=1)
+    assert one == scores(data[::-1], 7, parts=64) == scores(sorted(data), 3)
+    assert one != scores(data, 1, seed=43)
+
+
+def test_few_rows_and_heavy_rows(spark):
+    columns = "anodelancamento double, duracaomin double, generonome string, estado string, nota double"
+    single = spark.createDataFrame([(2000.0, 90.0, "g", "SP", 3.0)], columns)
+    assert model.score(single.drop("nota"), model.train(single, num_trees=6)).first().predicaomodelo == 3.0
+    heavy = spark.createDataFrame([(2000.0, 90.0, "g", "SP", 5.0)] * 3000 + [(2000.0, 90.0, "g", "SP", 1.0)] * 1000, columns)
+    assert abs(model.score(single.drop("nota"), model.train(heavy, num_trees=30)).first().predicaomodelo - 4.0) < 0.05
+
+
+def test_forest_can_be_saved(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    rows = [(2000.0 + i, 90.0, "ab"[i % 2], "SP", float(i % 2 + 1)) for i in range(40)]
+    training = spark.createDataFrame(rows, "anodelancamento double, duracaomin double, generonome string, estado string, nota double")
+    fitted = model.train(training, num_trees=3)
+    fitted.write().overwrite().save(str(tmp_path / "m"))
+    again = PipelineModel.load(str(tmp_path / "m"))
+    points = training.drop("nota")
+    assert [tuple(r) for r in model.score(points, fitted).collect()] == [tuple(r) for r in model.score(points, again).collect()]
 
 
 BASICS = "tconst\ttitleType\tprimaryTitle\toriginalTitle\tisAdult\tstartYear\tendYear\truntimeMinutes\tgenres\n"
@@ -245,4 +290,4 @@ def test_forest_learns_genre_and_state(spark):
 
 
 def test_task_memory_follows_the_session(spark):
-    assert model.task_memory_mb(spark) == 256  # 8 GB for 8 cores in these tests
+    assert model.default_task_memory_mb(spark) == 256  # 8 GB for 8 cores in these tests

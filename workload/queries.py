@@ -16,10 +16,11 @@ from starmill.functions import (
 from starmill.operators import dims, facts, generate, mutate, profile, quality, relational
 from starmill.operators.joins import lookup_join
 from starmill.operators.keys import dense_key, ensure_unknown_member, next_key
+from starmill.operators.registry import register as register_keys
+from starmill.plans import incremental
 from starmill.plans import warehouse as load
-from starmill.plans.recommender import stage_training
 from starmill.plans.rollup import roll_up_addresses, user_addresses
-from starmill.recommend import catalog, features, model
+from starmill.recommend import catalog, features, forest, model
 from starmill.sources import landing, names, publish, readers, staging, writers
 from workload import standins as src
 from workload.sql import RUN_DATE, query
@@ -643,7 +644,7 @@ def cross_score_topk(spark, d):
 
 def recommendations(spark, d, **options):
     training, candidates = staging.together(
-        lambda: stage_training(_training(spark, d)), lambda: _candidates(spark, d)
+        lambda: staging.stage(_training(spark, d), "training"), lambda: _candidates(spark, d)
     )
     return model.recommend(training, candidates, features.known_states(training), **options)
 
@@ -970,6 +971,111 @@ def model_learns(spark, d):
         F.lit(2000.0).alias("anodelancamento"), F.col("p_size").cast("double").alias("duracaomin"),
         F.col("p_type").alias("generonome"), F.col("r_name").alias("estado"), known.alias("nota"),
     )
-    training = stage_training(rows)
+    training = staging.stage(rows, "training")
     scored = model.score(rows, model.train(training, num_trees=30))
     return scored.groupBy("estado").agg(F.every(F.abs(F.col("predicaomodelo") - F.col("nota")) < 0.25).alias("close"))
+
+
+@register("""
+    SELECT estado, least(25, (SELECT count(*) FROM candidates)) AS n, TRUE AS same
+    FROM (SELECT DISTINCT estado FROM training)""")
+def model_partition_free(spark, d):
+    """The picks of a forest grown in 16 and in 64 parts: films and predictions are the same."""
+    training, candidates = staging.together(
+        lambda: staging.stage(_training(spark, d), "training"), lambda: _candidates(spark, d)
+    )
+    states = features.known_states(training)
+    some, many = (model.recommend(training, candidates, states, num_trees=12, parts=parts) for parts in (16, 64))
+    on = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in some.columns]
+    both = some.alias("a").join(many.alias("b"), functools.reduce(lambda x, y: x & y, on), "left")
+    return both.groupBy(F.col("a.Estado").alias("estado")).agg(
+        F.count("*").alias("n"), F.every(F.col("b.FilmeIMDbSK").isNotNull()).alias("same")
+    )
+
+
+@register("""
+    SELECT count(*) AS n_groups, CAST(sum(n) AS BIGINT) AS n_rows, TRUE AS mean_holds, TRUE AS spread_holds, TRUE AS whole
+    FROM (SELECT count(*) AS n FROM training GROUP BY anodelancamento, duracaomin, generonome, estado, nota)""")
+def bootstrap_weights(spark, d):
+    """Weights of every training row in 64 trees: their mean and variance are those of drawing with replacement."""
+    rows = features.compact(_training(spark, d)).withColumn("h", F.xxhash64(*model.K.FEATURE_COLUMNS, model.K.TARGET))
+    drawn = rows.select("n_equal", "h", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("tree")).withColumn(
+        "w", forest.bootstrap_weight(F.col("n_equal"), F.col("h"), F.col("tree"), model.K.SEED)
+    )
+    scaled = (F.col("w") - F.col("n_equal")) / F.sqrt("n_equal")
+    n = F.count("*")
+    out = drawn.agg(
+        F.count_if(F.col("tree") == 0).alias("n_groups"), F.sum(F.when(F.col("tree") == 0, F.col("n_equal"))).alias("n_rows"),
+        (F.abs(F.avg(scaled)) < 5 / F.sqrt(n)).alias("mean_holds"),
+        (F.abs(F.avg(scaled * scaled) - 1) < 10 / F.sqrt(n)).alias("spread_holds"),
+        F.every((F.col("w") >= 0) & (F.col("w") == F.floor("w"))).alias("whole"),
+    )
+    return out
+
+
+# --- later loads ---------------------------------------------------------------------------------
+
+
+@register("""
+    SELECT * FROM u_first
+    UNION ALL
+    SELECT email, telefone, (SELECT max(usuariosk) FROM u_first) + row_number() OVER (ORDER BY email, telefone) AS usuariosk
+    FROM (SELECT DISTINCT email, telefone FROM usuario u WHERE bairro <> 'MACHINERY'
+          AND NOT EXISTS (SELECT 1 FROM u_first f WHERE f.email = u.email AND f.telefone = u.telefone))""")
+def key_registry(spark, d):
+    """Two loads of the users: the second one lacks a district and has another one new. Known users keep
+    their keys, new ones are numbered above; the second load is sent twice."""
+    users, root = src.usuario(spark, d), staging.staged_path(spark, "registry")
+    register_keys(users.filter("bairro <> 'BUILDING'"), load.USER_KEY, "usuariosk", root, "first")
+    register_keys(users.filter("bairro <> 'MACHINERY'"), load.USER_KEY, "usuariosk", root, "second")
+    return register_keys(users.filter("bairro <> 'MACHINERY'"), load.USER_KEY, "usuariosk", root, "second")
+
+
+def _files(spark, root, fact):
+    """File name and year of every file of a fact."""
+    like = spark.createDataFrame([], incremental.FACTS[fact])
+    rows = incremental.read_partitioned(spark, f"{root}/facts/{fact}", like, incremental.MONTH)
+    return rows.select(F.col("_metadata.file_name").alias("file"), F.substring("month", 1, 4).cast("int").alias("ano")).distinct()
+
+
+def _batches(spark, d, root):
+    """Payments before 1998, those of 1996 without their amounts, and the first ratings; then what came
+    late; then the amounts of 1996. The late batch is sent twice."""
+    source = src.operational(spark, d)
+    payments, ratings = source["usrpagto"], source["avaliacao"]
+    year, day = F.year("datapagto"), F.col("avaliacaodata")
+    early = day < F.lit("2024-01-15").cast("date")
+    open_1996 = payments.filter(year < 1998).withColumn("valorpago", F.when(year == 1996, 0.0).otherwise(F.col("valorpago")))
+    incremental.load_batch(source, open_1996, ratings.filter(early), root, "base")
+    late = (source, payments.filter(year >= 1998), ratings.filter(~early), root, "late")
+    incremental.load_batch(*late)
+    before = staging.stage(_files(spark, root, "receita"), "files")
+    incremental.load_batch(source, payments.filter(year == 1996), ratings.limit(0), root, "corrections")
+    incremental.load_batch(*late)
+    return before
+
+
+@register("SELECT * FROM f_receita")
+def incremental_revenue(spark, d):
+    """Base and two later batches, one sent twice, equal the full load."""
+    root = staging.staged_path(spark, "incremental")
+    _batches(spark, d, root)
+    return incremental.loaded_fact(spark, root, "receita")
+
+
+@register("SELECT * FROM f_avaliacao")
+def incremental_rating(spark, d):
+    root = staging.staged_path(spark, "incremental")
+    _batches(spark, d, root)
+    return incremental.loaded_fact(spark, root, "avaliacao")
+
+
+@register("""
+    SELECT DISTINCT CAST(extract(year FROM datapagto) AS INTEGER) AS ano, extract(year FROM datapagto) <> 1996 AS untouched
+    FROM usrpagto""")
+def incremental_untouched(spark, d):
+    """Which years keep all their files, by name, while the corrections of one year are merged."""
+    root = staging.staged_path(spark, "incremental")
+    before = _batches(spark, d, root).withColumn("was", F.lit(True))
+    both = before.join(_files(spark, root, "receita").withColumn("is", F.lit(True)), ["file", "ano"], "full")
+    return both.groupBy("ano").agg(F.every(F.coalesce("was", F.lit(False)) & F.coalesce("is", F.lit(False))).alias("untouched"))
