@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,3 +61,16 @@ def pieces(batch: pa.RecordBatch, limit: int = 1 << 20, column: str = "body"):
 
 def table(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
+
+
+def per_worker(name: str, key: bytes, make: Callable):
+    """What ``make`` builds, kept by the Python worker for its next tasks as long as the key is the same.
+
+    Functions come to a worker by value, so a module of this package cannot hold it.
+    """
+    held = sys.modules.setdefault("starmill_worker_state", types.ModuleType("starmill_worker_state"))
+    known = getattr(held, name, None)
+    if known is None or known[0] != key:
+        known = (key, make())
+        setattr(held, name, known)
+    return known[1]

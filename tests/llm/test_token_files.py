@@ -13,7 +13,7 @@ from starmill.llm.queries import WORD_MODEL
 ODD = [
     "Plain words, plain words; it's WE'LL don't", "tab\tnew\nline\x0bvt\x0cff\r\nend", " lead and trail  ", "", None, " nbsp em",
     "a\x00b \x1c\x1d\x85 next", "é ́x 가 ﬁ", "<|endoftext|> x<|startoftext|>y <|endof text|>", "ΑΣ Σ İ ẞ", "日本語 テキスト 漢字",
-    "12345 6.7e8", "😀👍🏽 ok", "z" * 30000, "word " * 4000, "'s 's't ''re", " \t ",
+    "Arí, É. ÑandÚ! ÿ? ×, ÷. a×, ß; ẞ; Ǳ, ĳ. ﬀ,", "É́, E\u0301, é\u0323.", "A-b, c_d 'tis \"quoted\" (x) J\u030C \u212b \u1f71", "12345 6.7e8", "😀👍🏽 ok", "z" * 30000, "word " * 4000, "'s 's't ''re", " \t ",
 ]
 
 
