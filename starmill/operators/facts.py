@@ -41,6 +41,16 @@ def load_rating(ratings: DataFrame, user_map: DataFrame, films: DataFrame, cal:
         F.col("avaliacaodata").alias("datacompleta"),
     )
     joined = lookup_join(rows, user_map.select("usuarioid", "usuariosk"), "usuarioid")
+    return _rated(joined, films, cal, rows)
+
+
+def rate(ratings: DataFrame, films: DataFrame, cal: DataFrame) -> DataFrame:
+    """The same for ratings that have their user's key already, as after a bucket join."""
+    rows = ratings.withColumnsRenamed({"avaliacaoid": "avaliacaosk", "avaliacaodata": "datacompleta"})
+    return _rated(rows, films, cal, rows)
+
+
+def _rated(joined: DataFrame, films: DataFrame, cal: DataFrame, rows: DataFrame) -> DataFrame:
     joined = lookup_join(joined, films, "filmeid", skew_of=rows)
     joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta", skew_of=rows)
     return joined.select("avaliacaosk", "nota", "usuariosk", "filmesk", "produtorask", "calendariosk")

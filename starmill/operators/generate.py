@@ -11,23 +11,34 @@ from pyspark.sql import types as T
 from starmill.functions.text import _col
 from starmill.operators.joins import checked_broadcast, lookup_join
 from starmill.operators.keys import dense_key
+from starmill.sources.staging import stage
 
-GOLDEN = 0.6180339887498949
+#: Rounds of the permutation; four of a good function cannot be told from a random order.
+ROUNDS = 4
 
 
-def stride(pool: int) -> int:
-    """A step near the golden ratio of the pool that has no common factor with it."""
-    step = max(1, int(pool * GOLDEN))
-    while math.gcd(step, pool) != 1:
-        step += 1
-    return step
+def permute(df: DataFrame, column: str, width: int, height: int, seed: int) -> DataFrame:
+    """Put a keyed permutation of 0 to ``width * height - 1`` in the place of the column's value.
+
+    A Feistel network over quotient and remainder: each round shifts one half by a digest of the
+    other, so it can be undone, whatever the digest; no two values meet.
+    """
+    quotient, rest = F.call_function("div", F.col(column), F.lit(height)), F.col(column) % F.lit(height)
+    for k in range(ROUNDS):
+        own, other, size = (quotient, rest, width) if k % 2 == 0 else (rest, quotient, height)
+        digest = F.md5(F.concat(F.lit(f"{seed}:{k}:"), other.cast("string")))
+        shift = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint") % F.lit(size)
+        moved = (own + shift) % F.lit(size)
+        quotient, rest = (moved, rest) if k % 2 == 0 else (quotient, moved)
+    return df.withColumn(column, quotient * F.lit(height) + rest)
 
 
 def sample_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str, n: int, seed: int = 0) -> DataFrame:
-    """``min(n, left × right)`` distinct (left, right) id pairs, numbered from 0.
+    """``min(n, left × right)`` distinct (left, right) id pairs, numbered from 0, in pseudo-random order.
 
-    Pair i is element (i·step + seed) mod pool of the product, which is never
-    built: the step shares no factor with the pool, so no element repeats.
+    The product is never built: pair i is the element that a keyed permutation sends i to. The permutation
+    works on a square that is hardly larger than the product; the few indices that it sends outside
+    are sent on until they are inside, which keeps it a permutation.
     """
     lefts = dense_key(left.select(left_id).distinct(), [left_id], "_l", start=0)
     rights = dense_key(right.select(right_id).distinct(), [right_id], "_r", start=0)
@@ -35,20 +46,18 @@ def sample_pairs(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     n_left, n_right = lefts.count(), rights.count()
     pool = n_left * n_right
     n = min(n, pool)
-    seed %= max(pool, 1)  # any seed is a place in the pool
     if n == 0:
         schema = T.StructType([T.StructField("pair_id", T.LongType()), left.schema[left_id], right.schema[right_id]])
         return spark.createDataFrame([], schema)
-    step = stride(pool)
-    i = F.col("pair_id")
-    if n * step + seed < 2**63:
-        at = (i * F.lit(step) + F.lit(seed)) % F.lit(pool)
-    else:  # the product needs more than 64 bits
-        at = ((i.cast("decimal(19,0)") * F.lit(step).cast("decimal(19,0)") + seed) % F.lit(pool).cast("decimal(19,0)"))
-        at = at.cast("bigint")
-    picks = spark.range(n).withColumnRenamed("id", "pair_id").withColumn("_at", at)
-    picks = picks.select(
-        "pair_id", F.expr(f"_at div {n_right}").alias("_l"), (F.col("_at") % F.lit(n_right)).alias("_r")
+    height = math.isqrt(pool - 1) + 1
+    width = -(-pool // height)
+    first = permute(spark.range(n).select(F.col("id").alias("pair_id"), F.col("id").alias("_at")), "_at", width, height, seed)
+    inside, outside = first.filter(F.col("_at") < pool), first.filter(F.col("_at") >= pool)
+    while width * height > pool and not outside.isEmpty():  # about one in ``height`` each time
+        again = stage(permute(outside, "_at", width, height, seed), "walk")
+        inside, outside = inside.unionByName(again.filter(F.col("_at") < pool)), again.filter(F.col("_at") >= pool)
+    picks = inside.select(
+        "pair_id", F.call_function("div", F.col("_at"), F.lit(n_right)).alias("_l"), (F.col("_at") % F.lit(n_right)).alias("_r")
     )
     joined = lookup_join(lookup_join(picks, lefts, "_l"), rights, "_r")
     return joined.select("pair_id", left_id, right_id)

@@ -19,20 +19,25 @@ HOT_ROWS = 2_000_000
 _SALT, _SALTS = "_salt", "_salts"
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure the frame: rows times fixed width plus the bytes of its text.
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the frame: rows times fixed width plus the bytes of its text.
 
-    Without text columns this is a plain count, answered from file footers. Arrays, maps and
-    structs have no such measure, so a frame with one does not count as small.
+    Without text columns this is a plain count, answered from file footers.
     """
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
-        return False
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     sizes = [F.count(F.lit(1)).alias("n")]
     sizes += [F.sum(F.octet_length(c)).alias(f"b{i}") for i, c in enumerate(text)]
     row = df.agg(*sizes).first()
     fixed = row["n"] * (16 + 8 * len(df.columns))
-    return fixed + sum(row[f"b{i}"] or 0 for i in range(len(text))) <= max_bytes
+    return fixed + sum(row[f"b{i}"] or 0 for i in range(len(text)))
+
+
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Measure the frame. Arrays, maps and structs have no such measure, so a frame with one does
+    not count as small."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) for f in df.schema):
+        return False
+    return measured_bytes(df) <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:

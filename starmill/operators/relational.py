@@ -47,13 +47,12 @@ def latest_by(df: DataFrame, keys: Sequence[str], value: str, by: str) -> DataFr
     """Value of the row with the latest date or timestamp per key; at one time the smallest
     value. Rows without a time come last.
 
-    The latest time per key and value is a hash aggregate on the map side; only its few rows
-    per key are compared as pairs.
+    One aggregation, combined on the map side: a task sends one row per key, however many
+    values or rows the key has.
     """
     moment = F.unix_micros(F.col(by).cast("timestamp"))
-    latest = df.groupBy(*keys, value).agg(F.max(moment).alias("_at"))
-    first = F.struct(F.coalesce(-F.col("_at"), F.lit(2**63 - 1)).alias("a"), F.col(value).alias("v"))
-    return latest.groupBy(*keys).agg(F.min_by(value, first).alias(value))
+    first = F.struct(F.coalesce(-moment, F.lit(2**63 - 1)).alias("a"), F.col(value).alias(value))
+    return df.groupBy(*keys).agg(F.min(first).alias("_first")).select(*keys, F.col(f"_first.`{value}`").alias(value))
 
 
 def mode_by(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from starmill import schemas
 from starmill.functions import (
     clip, coerce_numeric, date_parts, first_token, ordered_pair, strip_ws, to_numeric, weekday_text,
 )
-from starmill.operators import dims, facts, generate, mutate, profile, quality, relational
+from starmill.operators import checkstate, dims, facts, generate, mutate, profile, quality, relational
 from starmill.operators.joins import lookup_join
 from starmill.operators.keys import dense_key, ensure_unknown_member, next_key
 from starmill.operators.registry import register as register_keys
@@ -21,7 +21,7 @@ from starmill.plans import incremental
 from starmill.plans import warehouse as load
 from starmill.plans.rollup import roll_up_addresses, user_addresses
 from starmill.recommend import catalog, features, forest, model
-from starmill.sources import landing, names, publish, readers, staging, writers
+from starmill.sources import bucketed, landing, names, publish, readers, staging, writers
 from workload import standins as src
 from workload.sql import RUN_DATE, query
 
@@ -569,7 +569,7 @@ def check_coercion(spark, d):
     return quality.check_coercion(src.title_basics(spark, d), ["startYear", "runtimeMinutes"])
 
 
-@register("""
+REVENUE_CHECKS = """
     SELECT 'unique' AS check_name, 'receitask' AS column_name,
            (SELECT count(*) FROM (SELECT receitask FROM f_receita GROUP BY 1 HAVING count(*) > 1)) AS violations
     UNION ALL SELECT 'not_null', 'receitask', (SELECT count(*) - count(receitask) FROM f_receita)
@@ -583,7 +583,10 @@ def check_coercion(spark, d):
         (SELECT count(DISTINCT usuariosk) FROM f_receita WHERE usuariosk NOT IN (SELECT usuariosk FROM d_usuario))
     UNION ALL SELECT 'reference', 'calendariosk',
         (SELECT count(DISTINCT calendariosk) FROM f_receita
-         WHERE calendariosk NOT IN (SELECT calendariosk FROM d_calendario))""")
+         WHERE calendariosk NOT IN (SELECT calendariosk FROM d_calendario))"""
+
+
+@register(REVENUE_CHECKS)
 def check_revenue_table(spark, d):
     """All declared checks of the revenue fact, against the shrunk address table."""
     revenue, addresses = _revenue(spark, d)
@@ -658,22 +661,37 @@ def recommend_model(spark, d):
 # --- fixtures at scale -----------------------------------------------------------------------
 
 
-@register("""
-    WITH l AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer),
+PAIR_SEED = -5
+
+
+def _permuted_sql(source: str) -> str:
+    """SQL of ``generate.permute`` over ``spot`` of the source, with ``width`` and ``height`` as columns."""
+    rows = f"SELECT *, spot // height AS q, spot % height AS r FROM {source}"
+    for k in range(generate.ROUNDS):
+        own, other, size = ("q", "r", "width") if k % 2 == 0 else ("r", "q", "height")
+        shift = f"CAST('0x' || md5('{PAIR_SEED}:{k}:' || {other})[1:15] AS BIGINT)"
+        rows = f"SELECT * REPLACE (({own} + {shift} % {size}) % {size} AS {own}) FROM ({rows})"
+    return f"SELECT pair_id, q * height + r AS spot, pool, n_right, width, height FROM ({rows})"
+
+
+@register(f"""
+    WITH RECURSIVE l AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS i FROM customer),
          r AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS j FROM part),
          size AS (SELECT (SELECT count(*) FROM customer) * (SELECT count(*) FROM part) AS pool,
-                         (SELECT count(*) FROM part) AS n_right, (SELECT count(*) FROM events) AS n),
-         near AS (SELECT *, CAST(floor(pool * 0.6180339887498949) AS BIGINT) AS base FROM size),
-         step AS (SELECT pool, n_right, n, min(base + k) AS step FROM near, range(0, 1000) t(k)
-                  WHERE gcd(base + k, pool) = 1 GROUP BY pool, n_right, n),
-         pick AS (SELECT i AS pair_id, CAST((CAST(i AS HUGEINT) * step + pool - 5) % pool AS BIGINT) AS spot, n_right
-                  FROM step, range(0, (SELECT count(*) FROM events)) t(i))
-    SELECT pair_id, c_custkey, p_partkey FROM pick JOIN l ON l.i = spot // n_right JOIN r ON r.j = spot % n_right""")
+                         (SELECT count(*) FROM part) AS n_right),
+         side AS (SELECT *, CAST(ceil(sqrt(pool)) AS BIGINT) AS height FROM size),
+         square AS (SELECT *, (pool + height - 1) // height AS width FROM side),
+         first AS (SELECT i AS pair_id, i AS spot, pool, n_right, width, height
+                   FROM square, range(0, (SELECT count(*) FROM events)) t(i)),
+         walk AS ({_permuted_sql("first")}
+                  UNION ALL {_permuted_sql("(SELECT * FROM walk WHERE spot >= pool)")})
+    SELECT pair_id, c_custkey, p_partkey FROM walk JOIN l ON l.i = spot // n_right JOIN r ON r.j = spot % n_right
+    WHERE spot < pool""")
 def sample_pairs(spark, d):
     """As many distinct customer and part pairs as there are events."""
     customer, part = src.table(spark, d, "customer"), src.table(spark, d, "part")
     n = src.table(spark, d, "events").count()
-    return generate.sample_pairs(customer, part, "c_custkey", "p_partkey", n, seed=-5)
+    return generate.sample_pairs(customer, part, "c_custkey", "p_partkey", n, seed=PAIR_SEED)
 
 
 @register("""
@@ -1079,3 +1097,115 @@ def incremental_untouched(spark, d):
     before = _batches(spark, d, root).withColumn("was", F.lit(True))
     both = before.join(_files(spark, root, "receita").withColumn("is", F.lit(True)), ["file", "ano"], "full")
     return both.groupBy("ano").agg(F.every(F.coalesce("was", F.lit(False)) & F.coalesce("is", F.lit(False))).alias("untouched"))
+
+
+@register(REVENUE_CHECKS)
+def check_increment(spark, d):
+    """The revenue fact in two batches, each read once; the checks come from their states."""
+    revenue, addresses = _revenue(spark, d)
+    revenue = staging.stage(revenue, "revenue")
+    root, table = staging.staged_path(spark, "check-state"), schemas.WAREHOUSE["receita"]
+    checkstate.add_batch(revenue.filter("valorpago < 100000"), table, root, "base")
+    for _ in range(2):  # sent twice
+        checkstate.add_batch(revenue.filter("NOT valorpago < 100000"), table, root, "delta")
+    parents = {
+        "endereco": (mutate.shrink_dimension(addresses, "estado", "enderecosk"), "enderecosk"),
+        "usuario": (_users(spark, d)[0], "usuariosk"), "calendario": (_calendar(spark, d), "calendariosk"),
+    }
+    return checkstate.check_state(spark, table, root, parents)
+
+
+# --- layout and landing ------------------------------------------------------------------------------
+
+
+@register("SELECT * FROM f_avaliacao")
+def bucketed_rating(spark, d):
+    """The rating fact from ratings and users that lie in buckets of the user: neither is exchanged to meet the other."""
+    (_, user_map), film_map, (producers, producer_map), payer, cal = staging.together(
+        lambda: _users(spark, d),
+        lambda: dims.from_entity(src.filme(spark, d).select("filmeid"), "filmeid", "filmesk"),
+        lambda: load.load_producers(src.produtora(spark, d)),
+        lambda: staging.stage(facts.latest_payer(src.filmpagtoroy(spark, d)), "payer"),
+        lambda: staging.stage(_calendar(spark, d), "calendar"),
+    )
+    films = load.film_keys_of(film_map, payer, producers, producer_map)
+    ratings = src.avaliacao(spark, d)
+    n, where = bucketed.bucket_count(ratings, user_map), staging.staged_path(spark, "bucketed")
+    rows, users = staging.together(
+        lambda: bucketed.write_bucketed(ratings, "starmill_bucketed", "avaliacao", "usuarioid", n, where),
+        lambda: bucketed.write_bucketed(user_map, "starmill_bucketed", "user_map", "usuarioid", n, where, hot_rows=None),
+    )
+    return facts.rate(bucketed.bucket_join(spark, rows, users), films, cal)
+
+
+@register(r"""
+    SELECT tconst, TRY_CAST(startyear AS BIGINT) AS "startYear", NULL AS reason FROM title_basics
+    WHERE tconst NOT IN (SELECT 'tt' || p_partkey FROM part WHERE p_size IN (9, 11, 14, 21))
+    UNION ALL
+    SELECT 'tt' || p_partkey, NULL, CASE WHEN p_size = 9 THEN 'columns: 8 of 9' WHEN p_size = 11 THEN 'columns: 10 of 9'
+           WHEN p_size = 14 THEN 'value: runtimeMinutes' ELSE 'header' END FROM part WHERE p_size IN (9, 11, 14, 21)""")
+def ingest_quarantine(spark, d):
+    """Packed landing files with lines that lack a field, have one too many or a bad number, and files without
+    a header: rows go to the table, lines to the rejects with the reason."""
+    basics, table = src.title_basics(spark, d), schemas.CATALOGUE["title-basics"]
+    size = src.table(spark, d, "part").select(F.concat(F.lit("tt"), F.col("p_partkey").cast("string")).alias("tconst"), "p_size")
+    fields = [F.coalesce(F.col(c), F.lit("\\N")) for c in table.names()]
+    line = F.when(F.col("p_size") == 9, F.concat_ws("\t", *fields[:-1])).when(
+        F.col("p_size") == 11, F.concat_ws("\t", *fields, F.lit("more"))
+    ).otherwise(F.concat_ws("\t", *fields))
+    lines = staging.stage(basics.join(size, "tconst").select(line.alias("\t".join(table.names())), "p_size"), "lines")
+    raw = staging.staged_path(spark, "landing")
+    plain = {"sep": "\x01", "quote": "", "compression": "gzip", "ignoreTrailingWhiteSpace": False, "ignoreLeadingWhiteSpace": False}
+    lines.filter("p_size <> 21").drop("p_size").write.options(header=True, **plain).csv(f"{raw}/headed")
+    lines.filter("p_size = 21").drop("p_size").write.options(header=False, **plain).csv(f"{raw}/bare")
+    accepted, rejected = landing.ingest_with_rejects(
+        spark, f"{raw}/*", table, staging.staged_path(spark, "brute"), staging.staged_path(spark, "rejects"),
+        strict=["runtimeMinutes"],
+    )
+    bad = rejected.select(F.split("line", "\t")[0].alias("tconst"), F.lit(None).cast("bigint").alias("startYear"), "reason")
+    return accepted.select("tconst", "startYear", F.lit(None).cast("string").alias("reason")).unionByName(bad)
+
+
+@register("""
+    SELECT event_id, user_id, CASE WHEN event_type = 'click' THEN NULL ELSE value END AS value,
+           CASE WHEN event_type = 'click' THEN NULL ELSE props END AS props
+    FROM events""")
+def catalogue_evolve(spark, d):
+    """A table whose older files have narrower and fewer columns is brought up to its files and read whole."""
+    events, place = src.table(spark, d, "events"), staging.staged_path(spark, "evolving")
+    old = events.filter("event_type = 'click'").select(F.col("event_id").cast("int").alias("event_id"), F.col("user_id").cast("int").alias("user_id"))
+    old.write.parquet(place)
+    writers.drop_namespace(spark, "starmill_evolving")
+    writers.create_schema(spark, "starmill_evolving", staging.staged_path(spark, "evolving-schema"))
+    spark.catalog.createTable("starmill_evolving.events", path=place, source="parquet")
+    fresh = events.filter("event_type IS DISTINCT FROM 'click'").select("event_id", "user_id", "value", "props")
+    fresh.write.mode("append").parquet(place)
+    landing.evolve_table(spark, "starmill_evolving.events")
+    return spark.table("starmill_evolving.events")
+
+
+@register("""
+    SELECT * FROM (VALUES ('training', 'RuntimeError'), ('states', 'ValueError'), ('revenue', '0 rows'), ('candidates', '0 rows'))
+    t(missing, outcome)""")
+def guard_outcomes(spark, d):
+    """What each empty input of the recommender leads to, the others being whole."""
+    training, candidates = staging.together(
+        lambda: staging.stage(_training(spark, d), "training"), lambda: _candidates(spark, d)
+    )
+    revenue, addresses = _revenue(spark, d)
+    states = features.known_states(training)
+    trees = {"num_trees": 2}
+    tried = {
+        "training": lambda: model.recommend(training.limit(0), candidates, states, **trees),
+        "states": lambda: model.recommend(training, candidates, states.limit(0), **trees),
+        "revenue": lambda: features.user_state(revenue.limit(0), addresses),
+        "candidates": lambda: model.recommend(training, candidates.limit(0), states, **trees),
+    }
+
+    def outcome(run) -> str:
+        try:
+            return f"{run().count()} rows"
+        except (RuntimeError, ValueError) as e:
+            return type(e).__name__
+
+    return spark.createDataFrame([(name, outcome(run)) for name, run in tried.items()], "missing string, outcome string")
