@@ -1,7 +1,7 @@
 """Operators for training-data corpora. Nothing else in the library imports this package.
 
 Functions of this package that run inside tasks travel to the executors by value,
-so a cluster needs the listed third-party libraries there but not this package.
+and so do objects sent with ``rows.send``: a cluster needs the listed third-party libraries there but not this package.
 """
 
 import sys

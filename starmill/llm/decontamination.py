@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.hashing import lower_table, shingles, words
-from starmill.llm.rows import identified, joined_bytes, pieces, table
+from starmill.llm.rows import identified, joined_bytes, pieces, send, table
 from starmill.sources.staging import stage
 
 #: Bytes outside ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` once A-Z are lower-cased.
@@ -59,8 +59,8 @@ class Block:
     prefix that must be shared is the first one. ``counts`` gives the order.
     """
 
-    def __init__(self, windows: list[bytes], items: list[list[str | None]], shingle: int):
-        self.items, self.shingle = items, shingle
+    def __init__(self, windows: list[bytes], names: list[int], shingle: int):
+        self.names, self.shingle = np.array(names, np.int64), shingle
         self.words = [np.frombuffer(w, np.uint64) for w in windows]
         self.length = np.array([len(w) for w in self.words], np.int64)
         self.width = np.minimum(self.length, shingle)
@@ -134,7 +134,7 @@ def marked(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
 
 def _shingle_counts(shared):
     def run(batches):
-        block = shared.value
+        block = shared()
         totals = {s: np.zeros(len(k), np.int64) for s, k in block.all_keys.items()}
         bits = {s: markers(k) for s, k in block.all_keys.items()}
         for batch in batches:
@@ -156,24 +156,23 @@ def _shingle_counts(shared):
 
 def _occurrences(shared):
     def run(batches):
-        block = shared.value
+        block = shared()
         for batch in batches:
             for part in pieces(batch):
                 h, first = text_words(*joined_bytes(part.column("body")))
                 text, start, window = block.hits(h, first)
                 by = np.lexsort((start, text))
                 text, start, window = text[by], start[by], window[by]
-                spans, items = [], []
+                spans, names = [], []
                 edge = np.searchsorted(text, np.arange(part.num_rows + 1))
                 for k in range(part.num_rows):
                     own = slice(edge[k], edge[k + 1])
                     begin = start[own] - first[k]
                     spans.append(merged(begin, begin + block.length[window[own]]))
-                    names = {i for w in np.unique(window[own]).tolist() for i in block.items[w]}
-                    items.append(sorted(n for n in names if n is not None))
+                    names.append(np.sort(block.names[np.unique(window[own])]))
                 yield table(
                     rid=part.column("rid"), doc_id=part.column("doc_id"), n_words=pa.array(np.diff(first), pa.int64()),
-                    spans=pa.array(spans, pa.list_(pa.int32())), items=pa.array(items, pa.list_(pa.string())),
+                    spans=pa.array(spans, pa.list_(pa.int32())), windows=pa.array(names, pa.list_(pa.int64())),
                 )
 
     return run
@@ -201,7 +200,8 @@ def contamination(
     ``docs`` comes from ``rows.identified``. The items' windows are taken in blocks of
     ``block_windows`` distinct windows; each block is sent to the executors (at most about
     ``block_windows * size * 8`` bytes) and the documents are read once per block, so the
-    benchmark may be of any size. Words are compared by 64-bit hash, each word of a window.
+    benchmark may be of any size. Which items hold a window stays in a table and is joined, so a
+    passage that very many items share is one window here. Very long texts are scanned in pieces of rows, one text at a time. Words are compared by 64-bit hash, each word of a window.
     Null or empty texts and items have no words; an item with a null id hits words but is
     not listed; items that share an id are one.
     """
@@ -209,41 +209,53 @@ def contamination(
     named = items.select(
         F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").cast("binary").alias("body")
     )
-    grouped = named.mapInArrow(_windows(size, shingle), "item string, window binary").groupBy("window")
-    windows = stage(grouped.agg(F.collect_set("item").alias("items")), "windows")
+    held = stage(named.mapInArrow(_windows(size, shingle), "item string, window binary").distinct(), "item-windows")
+    # Written once, so a window keeps its name.
+    windows = stage(
+        held.select("window").distinct().withColumn("name", F.monotonically_increasing_id()), "windows"
+    )
+    items_of = held.filter("item IS NOT NULL").join(windows, "window").select("name", "item")
     blocks = max(1, -(-windows.count() // block_windows))
     results = []
     for k in range(blocks):
         own = windows.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == k).collect()
         if not own and k:
             continue
-        results.append(_against(docs, [bytes(r.window) for r in own], [r["items"] or [None] for r in own], shingle))
-    if len(results) == 1:
-        return results[0]
-    whole = results[0]
+        results.append(_against(docs, [bytes(r.window) for r in own], [r["name"] for r in own], shingle))
+    hits = results[0]
     for more in results[1:]:
-        whole = whole.unionByName(more)
-    return whole.groupBy("rid").agg(
-        F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        hits = hits.unionByName(more)
+    if len(results) > 1:
+        hits = hits.groupBy("rid").agg(
+            F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+            F.flatten(F.collect_list("spans")).alias("spans"),
+            F.array_sort(F.flatten(F.collect_list("windows"))).alias("windows"),
+        )
+    hits = stage(hits, "window-hits")
+    # Documents with the same windows have the same items, which are looked up once for all of them.
+    sets = hits.filter(F.size("windows") > 0).select("windows").distinct()
+    each = sets.select("windows", F.explode("windows").alias("name")).join(items_of, "name")
+    listed = each.groupBy("windows").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    none = F.array().cast("array<string>")
+    return hits.join(listed, "windows", "left").select(
+        "rid", "doc_id", "n_words", "spans", F.coalesce("items", none).alias("items")
     )
 
 
-def _against(docs: DataFrame, windows: list[bytes], items: list[list[str | None]], shingle: int) -> DataFrame:
-    sc = docs.sparkSession.sparkContext
+def _against(docs: DataFrame, windows: list[bytes], names: list[int], shingle: int) -> DataFrame:
+    spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"rid long, doc_id {kind}, n_words long, spans array<int>, items array<string>"
-    block = Block(windows, items, shingle)
+    schema = f"rid long, doc_id {kind}, n_words long, spans array<int>, windows array<long>"
+    block = Block(windows, names, shingle)
     if windows:
-        counted = docs.select("body").mapInArrow(_shingle_counts(sc.broadcast(block)), "size int, key long, n long")
+        counted = docs.select("body").mapInArrow(_shingle_counts(send(spark, block)), "size int, key long, n long")
         counts = {s: np.zeros(len(k), np.int64) for s, k in block.all_keys.items()}
-        for r in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect():
+        for r in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect():  # keys of this block only
             counts[r["size"]][r["key"]] = r["n"]
         block.index(counts)
     else:
         block.by_size, block.length = {}, np.zeros(0, np.int64)
-    return docs.select("rid", "doc_id", "body").mapInArrow(_occurrences(sc.broadcast(block)), schema)
+    return docs.select("rid", "doc_id", "body").mapInArrow(_occurrences(send(spark, block)), schema)
 
 
 def _verdicts(batches):

@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.sources.staging import stage
@@ -74,3 +75,13 @@ def per_worker(name: str, key: bytes, make: Callable):
         known = (key, make())
         setattr(held, name, known)
     return known[1]
+
+
+def send(spark: SparkSession, value) -> Callable:
+    """Broadcast an object of this package; the function returned gives it to a task.
+
+    A broadcast alone names the classes of what it holds by module, and a worker need not have this
+    package. Packed first, they travel by value like the functions that use them.
+    """
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(packed.value)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.hashing import GOLDEN, codes, lower_table, spread, words
-from starmill.llm.rows import identified, joined_bytes, pieces, table
+from starmill.llm.rows import identified, joined_bytes, pieces, send, table
 from starmill.sources.staging import stage
 
 #: ASCII characters that are not letters separate tokens; every other character belongs to one.
@@ -158,9 +158,9 @@ def _scan(part: pa.RecordBatch, weights: np.ndarray, how: Settings):
 
 
 def evidence(found: list[tuple[int, int, float]]) -> float:
-    """Sum of the best segments, each next one at half the weight of the one before."""
-    best = sorted((s for _, _, s in found), reverse=True)[:8]
-    return sum(s * 0.5**k for k, s in enumerate(best))
+    """Sum of all segments from the best down, each next one at half the weight of the one before."""
+    best = np.sort(np.array([s for _, _, s in found], np.float64))[::-1]
+    return float((best * np.exp2(-np.arange(len(best), dtype=np.float64))).sum())
 
 
 def _best_segments(shared, how: Settings):
@@ -247,7 +247,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
 
 def _scored(shared):
     def run(batches):
-        model = shared.value
+        model = shared()
         how = model.settings
         for batch in batches:
             for part in pieces(batch):
@@ -275,7 +275,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have no token and get the score of a text without a segment.
     """
     kind = dict(docs.dtypes)["doc_id"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send(docs.sparkSession, model)
     schema = f"rid long, doc_id {kind}, score double, n_tokens long, passages array<int>"
     return docs.select("rid", "doc_id", "body").mapInArrow(_scored(shared), schema)
 
@@ -295,7 +295,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """``doc_id``, ``held_out``, ``score``, ``predicted``, and the number of significant passages.
 
     Rows without a label, or with a null one, train nothing; a document labelled twice counts
-    once per label table row kept by its id. Every row of ``docs`` is scored.
+    once per label table row kept by its id. Every row of ``docs`` is scored, very long texts as a whole: the scan
+    keeps only open segments.
     """
     base = identified(docs, id_col, text_col)
     model = train_labelled(base, labels, "toxic", id_col)
@@ -310,7 +311,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     """The rows of ``docs`` that score below ``threshold``, all columns."""
     base = identified(docs, id_col, text_col, whole=True)
     model = train_labelled(base, labels, "toxic", id_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send(docs.sparkSession, model)
     row = base.schema["row"].dataType.simpleString()
     return base.select("rid", "doc_id", "body", "row").mapInArrow(_below(shared, threshold), f"row {row}").select("row.*")
 
