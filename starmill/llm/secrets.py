@@ -19,7 +19,10 @@ PATTERNS = {
     "key": (
         r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])"
         r"[A-Za-z0-9+/_-]{16,}+", 0, 16),
-    "endpoint": (r"""https?://[^\s"'<>]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b""", 0, 4),
+    # A host is the whole run of its characters, found once and never taken apart again, so a run of any
+    # length is read in linear time and without recursion; _well_formed looks at its labels.
+    "endpoint": (
+        r"""https?://[^\s"'<>]++|(?<![a-z0-9.-])(?=[a-z0-9-]++\.)[a-z0-9.-]++:[0-9]{2,5}+\b""", 0, 4),
 }
 #: What each part needs near it, by role, to be reported.
 IDENTIFIERS, SECRETS = ["access", "id"], ["assign", "hex", "key"]
@@ -46,12 +49,19 @@ def _screens() -> dict[str, Column]:
     }
 
 
+def _well_formed(endpoint: Column) -> Column:
+    """Every label of a host has a character; an address with a scheme is taken as it is."""
+    return endpoint.startswith("http") | ~(endpoint.contains("..") | endpoint.contains(".:"))
+
+
 def _matches(kind: str, screen: Column) -> Column:
     """``kind``, ``k``, ``gap`` (code points before it since the last match), ``size``, ``tested``."""
     pattern, group, _ = PATTERNS[kind]
     gaps = F.split("text", pattern, -1)
     hits = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     tested = hits if not group else F.regexp_extract_all("text", F.lit(pattern), F.lit(group))
+    if kind == "endpoint":
+        tested = F.transform(hits, lambda h: F.when(_well_formed(h), h).otherwise(""))
     zipped = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), tested.alias("part"))
     rows = F.transform(
         zipped,
@@ -88,7 +98,8 @@ def linked(found: DataFrame, scope: int = 200) -> DataFrame:
     """
     order = Window.partitionBy("rid").orderBy("start")
     back = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = order.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # Backwards, so that this too is a running value; a frame that ends with the document is made anew for every row.
+    ahead = Window.partitionBy("rid").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     base, kind = KINDS[:3], F.col("kind")
 
     def near(role: Column, reach: int) -> Column:
@@ -114,7 +125,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: ``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans``.
 
     Null and empty texts have no span. Rows that share an id are documents of their own. Only
-    spans are shuffled; texts stay where they are read.
+    spans are shuffled; texts stay where they are read. Every pattern reads a text in time linear in its length, also
+    megabytes of dots, hyphens or colons; a very long text needs memory for its matches.
     """
     base = identified(docs, id_col, text_col)
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
