@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.llm import (
     decontamination, jaccard_join, line_dedup, prefix_trie, quality, secrets, sentencepiece_codec, spelling, suffix_dedup,
@@ -170,7 +171,7 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <
 )
 def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings").selectExpr("vec_id AS id", "embedding AS vector")
-    return topk.top_k(vectors, vectors.filter("id % 50 = 0"))
+    return topk.top_k(vectors, F.col("id") % 50 == 0)
 
 
 @register()
@@ -183,23 +184,6 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, folder, "documents"))
 
 
-@register(
-    r"""
-WITH d AS (
-  SELECT doc_id, source, lang, coalesce(text, '') AS text,
-         regexp_replace(coalesce(text, ''), '\n[^\n]*\z', '') AS shorter FROM documents),
-kept AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1),
-counted AS (
-  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(shorter, '[^\x20\x09-\x0D]+')) AS n FROM kept
-  UNION ALL
-  SELECT source, lang, 'words-2', len(regexp_extract_all(shorter, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM kept)
-SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
-FROM counted GROUP BY ALL"""
-)
-def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.corpus_totals(_table(spark, folder, "documents"))
-
-
 @register(
     r"""
 WITH counted AS (
@@ -211,8 +195,8 @@ WITH counted AS (
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM counted GROUP BY ALL"""
 )
-def op2_whole_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts.whole_totals(_table(spark, folder, "documents"))
+def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.corpus_totals(_table(spark, folder, "documents"))
 
 
 #: Any tokenizers file whose words end at white space will do.

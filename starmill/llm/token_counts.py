@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.sources.staging import shared_dir
+from starmill.sources.manifest import exists
+from starmill.sources.staging import shared_dir, stage
 
 #: Tokenizer versions by name: the number of tokens of a text. More can be passed in.
 TOKENIZERS: dict[str, Callable[[Column], Column]] = {
@@ -17,6 +18,7 @@ TOKENIZERS: dict[str, Callable[[Column], Column]] = {
 }
 KEYS = ["source", "lang", "tokenizer"]
 MANIFEST = "batch string, folder string"
+TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
 
 def signed(docs: DataFrame, sign: int, versions: list[str], text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -57,6 +59,33 @@ class Rollup:
         rows = self.spark.read.schema(MANIFEST).parquet(self.manifest)
         return rows.groupBy("batch").agg(F.min("folder").alias("folder"))
 
+    def compact(self) -> bool:
+        """Roll all batches of the manifest up into one folder; False if there is nothing to do.
+
+        The new folder counts from the moment the manifest says that it stands for these batches, so a
+        loss before changes nothing. Their names stay known. Old folders are left to whoever cleans the store.
+        """
+        names = [r["batch"] for r in self._batches().collect()]
+        whole = self._live()
+        if len(whole) < 2:
+            return False
+        folder = f"{self.folder}/delta-{uuid.uuid4().hex}"
+        self._rolled(self.spark.read.schema(TOTALS).parquet(*whole)).coalesce(1).write.parquet(folder)
+        row = self.spark.createDataFrame([(n, folder) for n in names], MANIFEST).coalesce(1)
+        row.write.mode("append").parquet(f"{self.folder}/compacted/{uuid.uuid4().hex}")
+        return True
+
+    def _live(self) -> list[str]:
+        """The folders that count: of each batch its own, or the smallest compacted set that holds it."""
+        own = {r["batch"]: r["folder"] for r in self._batches().collect()}
+        path = f"{self.folder}/compacted"
+        if exists(self.spark, path):
+            sets = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", True).parquet(path)
+            grouped = sets.groupBy("folder").agg(F.sort_array(F.collect_set("batch")).alias("names")).collect()
+            for r in sorted(grouped, key=lambda r: (len(r["names"]), r["folder"])):  # later sets hold all earlier ones
+                own |= {name: r["folder"] for name in r["names"]}
+        return sorted(set(own.values()))
+
     def commit(self, batch: str, deltas: DataFrame) -> bool:
         """Apply the batch once; False if it was applied before."""
         if not self._batches().filter(F.col("batch") == batch).isEmpty():
@@ -74,61 +103,56 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """``source``, ``lang``, ``tokenizer``, ``n_docs``, ``n_tokens`` over all batches; keys at zero are gone."""
-        folders = [r["folder"] for r in self._batches().collect()]
-        schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+        folders = self._live()
         if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self._rolled(self.spark.read.schema(schema).parquet(*folders))
+            return self.spark.createDataFrame([], TOTALS)
+        return self._rolled(self.spark.read.schema(TOTALS).parquet(*folders))
 
 
 def new_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/starmill/rollup-{uuid.uuid4().hex}"
 
 
-def corpus_totals(docs: DataFrame, versions: list[str] = ("words-1", "words-2"), id_col: str = "doc_id") -> DataFrame:
-    """Totals of a corpus after its life so far, each step a batch of deltas.
+def counted(docs: DataFrame, versions: list[str], id_col: str = "doc_id") -> DataFrame:
+    """One written row per document and version: ``n``, tokens of the whole text, ``n_last``, tokens of its last line
+    if it has several, and ``twice``, whether the earlier state holds the document twice.
 
-    All documents come in; their last line is taken off (revised counts); exact copies of a
-    document with a smaller id go. The load is then sent again, as after a lost answer, and
-    changes nothing. Rows that share an id and a text are one document; rows without an id come last.
+    Each text is read once. A newline parts words in every version, so a text without its last
+    line has ``n - n_last`` tokens.
     """
-    spark, versions = docs.sparkSession, list(versions)
-    store = Rollup(spark, new_folder(spark))
-    plain = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+    text = F.coalesce(F.col("text"), F.lit(""))
+    last = F.when(F.contains(text, F.lit("\n")), F.substring_index(text, "\n", -1)).otherwise(F.lit(""))
+    counts = [
+        F.struct(F.lit(v).alias("tokenizer"), TOKENIZERS[v](text).alias("n"), TOKENIZERS[v](last).alias("n_last")) for v in versions
+    ]
+    rows = docs.select(
         F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
+        (F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(16)) == 0).alias("twice"), F.explode(F.array(*counts)).alias("c"),
     )
-    cut = plain.withColumn("shorter", F.regexp_replace("text", r"(?s)\n[^\n]*\z", ""))
-    first = plain.groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("lead"))
-    gone = signed(cut.withColumn("sha", F.sha2("text", 256)), -1, versions, "shorter", keep=("doc_id", "sha"))
-    later = gone.join(first, "sha").filter("NOT (doc_id <=> lead)").drop("doc_id", "sha", "lead")
-    load = signed(plain, 1, versions)
-    store.commit("load", load)
-    store.commit("last-line", revised(cut, "text", "shorter", versions))
-    store.commit("copies", later)
-    store.commit("load", load)
-    return store.totals()
+    return stage(rows.select("source", "lang", "twice", "c.*"), "token-counts")
+
+
+def _deltas(rows: DataFrame, sign: int, n: Column) -> DataFrame:
+    return rows.select(*KEYS, F.lit(sign).cast("long").alias("n_docs"), (n * sign).cast("long").alias("n_tokens"))
 
 
-def whole_totals(docs: DataFrame, versions: list[str] = ("words-1", "words-2"), id_col: str = "doc_id") -> DataFrame:
+def corpus_totals(docs: DataFrame, versions: list[str] = ("words-1", "words-2"), id_col: str = "doc_id") -> DataFrame:
     """Totals over the whole texts of all rows, copies among them, reached by way of an earlier state.
 
     That state lacks the last line of every text and holds about one row in sixteen twice. A batch
-    of revisions gives the texts back whole, one of deletions takes the additional rows out. The
-    first batch is then sent again and changes nothing. No text is shuffled.
+    of revisions gives the texts back whole (the old count goes, the new one comes), one of deletions takes the additional
+    rows out. The first batch is then sent again and changes nothing. Rows with null or repeated ids count like
+    others; null sources and languages are keys; an empty table has no totals. No text is shuffled, and very long ones
+    are read once like all.
     """
     spark, versions = docs.sparkSession, list(versions)
     store = Rollup(spark, new_folder(spark))
-    text = F.coalesce("text", F.lit(""))
-    table = docs.select(
-        text.alias("text"), F.regexp_replace(text, r"(?s)\n[^\n]*\z", "").alias("shorter"),
-        F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-        (F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(16)) == 0).alias("twice"),
-    )
-    extra = table.filter("twice")
-    earlier = signed(table, 1, versions, "shorter").unionByName(signed(extra, 1, versions, "shorter"))
+    rows = counted(docs, versions, id_col)
+    extra, shorter = rows.filter("twice"), F.col("n") - F.col("n_last")
+    earlier = _deltas(rows, 1, shorter).unionByName(_deltas(extra, 1, shorter))
     store.commit("earlier", earlier)
-    store.commit("whole-texts", revised(table, "shorter", "text", versions))
-    store.commit("additional-rows", signed(extra, -1, versions, "shorter"))
+    store.commit("whole-texts", _deltas(rows, -1, shorter).unionByName(_deltas(rows, 1, F.col("n"))))
+    store.commit("additional-rows", _deltas(extra, -1, shorter))
     store.commit("earlier", earlier)
+    store.compact()
     return store.totals()

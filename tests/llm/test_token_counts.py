@@ -35,22 +35,29 @@ def test_files_without_a_manifest_row_do_not_count(spark, frame):
     assert totals(store) == {}
 
 
-def test_corpus(frame, odd_corpus, spark):
-    import re
-
-    seen, want = set(), Counter()
-    pairs = [(i, t) for i, t in odd_corpus if i is not None]
-    for i, t in sorted(pairs, key=lambda p: p[0]):
-        t = t or ""
-        if t in seen and (t, i) not in seen:
-            continue
-        seen |= {t, (t, i)}
-        short = t[: t.rfind("\n")] if "\n" in t else t
-        want[f"src{i % 3}"] += len(re.findall("[^\x20\x09-\x0d]+", short))
-    got = {r.source: r.n_tokens for r in tc.corpus_totals(frame(pairs)).filter("tokenizer = 'words-1'").collect()}
-    assert got == dict(want)
-    assert tc.corpus_totals(frame([])).count() == 0
-    assert tc.corpus_totals(frame(odd_corpus)).count() > 0
+def test_compaction_keeps_totals_and_names(spark, frame):
+    store = tc.Rollup(spark, tc.new_folder(spark))
+    batches = [tc.signed(frame([(k, "a b c")]), 1, ["words-1"]) for k in range(4)]
+    for k in range(3):
+        store.commit(str(k), batches[k])
+    before = totals(store)
+    assert store.compact() and totals(store) == before and not store.compact()
+    assert len(store._live()) == 1
+    assert not store.commit("1", batches[1]) and totals(store) == before
+    assert store.commit("3", batches[3]) and len(store._live()) == 2
+    after = totals(store)
+    assert after["src0", "en", "words-1"] == (2, 6)
+    assert store.compact() and totals(store) == after and len(store._live()) == 1
+
+
+def test_last_lines_are_counted_apart(frame):
+    pairs = [(1, "a b\nc-d e"), (2, "a\n"), (3, "x y"), (4, None), (5, "\n\nq")]
+    rows = {(r.source, r.tokenizer, r.n, r.n_last) for r in tc.counted(frame(pairs), ["words-1", "words-2"]).collect()}
+    assert rows == {
+        ("src1", "words-1", 4, 2), ("src1", "words-2", 5, 3), ("src2", "words-1", 1, 0), ("src2", "words-2", 1, 0),
+        ("src0", "words-1", 2, 0), ("src0", "words-2", 2, 0), ("src1", "words-1", 0, 0), ("src1", "words-2", 0, 0),
+        ("src2", "words-1", 1, 1), ("src2", "words-2", 1, 1),
+    }
 
 
 def test_whole_documents(frame, odd_corpus):
@@ -62,12 +69,12 @@ def test_whole_documents(frame, odd_corpus):
         want[f"src{(i or 0) % 3}", "docs"] += 1
         want[f"src{(i or 0) % 3}", "tokens"] += len(re.findall("[^\x20\x09-\x0d]+", t or ""))
     got = Counter()
-    for r in tc.whole_totals(frame(odd_corpus)).filter("tokenizer = 'words-1'").collect():
+    for r in tc.corpus_totals(frame(odd_corpus)).filter("tokenizer = 'words-1'").collect():
         got[r.source, "docs"], got[r.source, "tokens"] = r.n_docs, r.n_tokens
     assert got == want
-    assert tc.whole_totals(frame([])).count() == 0
+    assert tc.corpus_totals(frame([])).count() == 0
 
 
 def test_source_of_copies_only_stays(frame):
-    out = tc.whole_totals(frame([(0, "a\nb c"), (1, "a\nb c"), (4, "a\nb c")])).filter("tokenizer = 'words-1'")
+    out = tc.corpus_totals(frame([(0, "a\nb c"), (1, "a\nb c"), (4, "a\nb c")])).filter("tokenizer = 'words-1'")
     assert {r.source: (r.n_docs, r.n_tokens) for r in out.collect()} == {"src0": (1, 3), "src1": (2, 6)}
