@@ -88,8 +88,8 @@ def lookup_join(
         return rows.join(F.broadcast(lookup), on, how)
 
     hot = stage(hot_keys(rows if skew_of is None else skew_of, on, hot_rows), "hot-keys")
-    if hot.isEmpty():
-        return rows.join(lookup, on, how)
+    if hot.isEmpty():  # Spark would broadcast by the size of the files, which are packed
+        return rows.join(lookup.hint("merge"), on, how)
 
     # The salt depends on row content and partition only, so a retried task
     # sends every row to the same place; copies in different files still spread.
@@ -104,4 +104,4 @@ def lookup_join(
         .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)))
         .drop(_SALTS)
     )
-    return spread.join(copies, [*on, _SALT], how).drop(_SALT)
+    return spread.join(copies.hint("merge"), [*on, _SALT], how).drop(_SALT)

@@ -44,7 +44,7 @@ def register(rows: DataFrame, natural_key: Sequence[str], key: str, root: str, b
     same = F.lit(True)
     for c in columns:
         same = same & asked[c].eqNullSafe(named[f"_k_{c}"])
-    unknown = stage(asked.join(named, same, "left_anti"), f"unknown-{key}")
+    unknown = stage(asked.join(named.hint("merge"), same, "left_anti"), f"unknown-{key}")
     if unknown.isEmpty():
         manifest.commit(spark, root, batch)
         return known
@@ -71,4 +71,4 @@ def registry_map(source: DataFrame, registry: DataFrame, natural_key: Sequence[s
         none = registry.filter(F.col(columns[0]).isNull()).select(key).agg(F.min(key)).scalar()
         nulls = source.filter(F.col(columns[0]).isNull()).select(source_id, none.alias(key)).filter(F.col(key).isNotNull())
         return found.select(source_id, key).unionByName(nulls)
-    return rows.join(lookup, (rows["_h"] == lookup["_h"]) & same).select(source_id, key)
+    return rows.join(lookup.hint("merge"), (rows["_h"] == lookup["_h"]) & same).select(source_id, key)
