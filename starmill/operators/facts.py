@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions import as_date
-from starmill.operators.joins import lookup_join
+from starmill.operators.joins import BROADCAST_BYTES, lookup_join
 from starmill.operators.quality import ConstraintError
 from starmill.operators.relational import latest_by
 from starmill.sources.staging import stage
@@ -20,18 +20,20 @@ def latest_payer(royalties: DataFrame) -> DataFrame:
 
 
 def film_lookup(
-    film_map: DataFrame, payer: DataFrame, producer_map: DataFrame, unknown_key: Column
+    film_map: DataFrame, payer: DataFrame, producer_map: DataFrame, unknown_key: Column, max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """(filmeid, filmesk, produtorask): the film's payer or the unknown member.
 
     Resolving the producer per film keeps these two joins off the rating rows.
     """
-    paid = lookup_join(payer, producer_map, "produtoraid").select("filmeid", "produtorask")
+    paid = lookup_join(payer, producer_map, "produtoraid", max_bytes=max_bytes).select("filmeid", "produtorask")
     joined = film_map.select("filmeid", "filmesk").join(paid, "filmeid", "left")
     return joined.withColumn("produtorask", F.coalesce("produtorask", unknown_key))
 
 
-def load_rating(ratings: DataFrame, user_map: DataFrame, films: DataFrame, cal: DataFrame) -> DataFrame:
+def load_rating(
+    ratings: DataFrame, user_map: DataFrame, films: DataFrame, cal: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Rating fact; ``films`` comes from :func:`film_lookup`. Unmatched rows drop out."""
     rows = ratings.select(
         F.col("avaliacaoid").alias("avaliacaosk"),
@@ -40,8 +42,8 @@ def load_rating(ratings: DataFrame, user_map: DataFrame, films: DataFrame, cal:
         "filmeid",
         F.col("avaliacaodata").alias("datacompleta"),
     )
-    joined = lookup_join(rows, user_map.select("usuarioid", "usuariosk"), "usuarioid")
-    return _rated(joined, films, cal, rows)
+    joined = lookup_join(rows, user_map.select("usuarioid", "usuariosk"), "usuarioid", max_bytes=max_bytes)
+    return _rated(joined, films, cal, rows, max_bytes)
 
 
 def rate(ratings: DataFrame, films: DataFrame, cal: DataFrame) -> DataFrame:
@@ -50,8 +52,10 @@ def rate(ratings: DataFrame, films: DataFrame, cal: DataFrame) -> DataFrame:
     return _rated(rows, films, cal, rows)
 
 
-def _rated(joined: DataFrame, films: DataFrame, cal: DataFrame, rows: DataFrame) -> DataFrame:
-    joined = lookup_join(joined, films, "filmeid", skew_of=rows)
+def _rated(
+    joined: DataFrame, films: DataFrame, cal: DataFrame, rows: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    joined = lookup_join(joined, films, "filmeid", max_bytes=max_bytes, skew_of=rows)
     joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta", skew_of=rows)
     return joined.select("avaliacaosk", "nota", "usuariosk", "filmesk", "produtorask", "calendariosk")
 
@@ -64,7 +68,7 @@ def user_lookup(users: DataFrame, user_map: DataFrame, addresses: DataFrame, add
     return located.join(user_map.select("usuarioid", "usuariosk"), "usuarioid")
 
 
-def load_revenue(payments: DataFrame, users: DataFrame, cal: DataFrame) -> DataFrame:
+def load_revenue(payments: DataFrame, users: DataFrame, cal: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Revenue fact; ``users`` comes from :func:`user_lookup`. Unmatched rows drop out."""
     rows = payments.select(
         F.col("usrpagtoid").alias("receitask"),
@@ -72,7 +76,7 @@ def load_revenue(payments: DataFrame, users: DataFrame, cal: DataFrame) -> DataF
         "usuarioid",
         F.col("datapagto").alias("datacompleta"),
     )
-    joined = lookup_join(rows, users, "usuarioid")
+    joined = lookup_join(rows, users, "usuarioid", max_bytes=max_bytes)
     joined = lookup_join(joined, cal.select("datacompleta", "calendariosk"), "datacompleta", skew_of=rows)
     return joined.select("receitask", "valorpago", "usuariosk", "calendariosk", "enderecosk")
 

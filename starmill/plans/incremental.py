@@ -17,10 +17,13 @@ from starmill.operators.dims import CALENDAR_COLUMNS
 from starmill.operators.joins import lookup_join
 from starmill.operators.registry import register, registered, registry_map
 from starmill.plans.warehouse import ADDRESS_KEY, UNKNOWN_PRODUCER, USER_KEY
+from starmill.sources import manifest
 from starmill.sources.partitioned import merge_batch, read_partitioned
 from starmill.sources.staging import stage, together
 
 MONTH = "month"
+#: Size of a lookup that a batch sends to all tasks. A series of batches has many lookups, and each passes through the driver.
+LOOKUP_BYTES = 8 * 1024 * 1024
 
 
 def _calendar_days(batch: Mapping[str, DataFrame]) -> DataFrame:
@@ -35,9 +38,13 @@ def load_batch(source: Mapping[str, DataFrame], payments: DataFrame, ratings: Da
 
     ``source`` holds the operational tables usuario, filme, produtora and filmpagtoroy as they are now, the
     frames ``payments`` and ``ratings`` the new and corrected rows of usrpagto and avaliacao. A batch of the same
-    ``name`` is merged once. Registries are below ``root/keys``, facts below ``root/facts``.
+    ``name`` is merged once: if both facts have it, its keys are registered too and nothing is read.
+    Registries are below ``root/keys``, facts below ``root/facts``.
     """
     spark, root = payments.sparkSession, root.rstrip("/")
+    places = {fact: f"{root}/facts/{fact}" for fact in FACTS}
+    if all(manifest.committed(spark, place, name) for place in places.values()):
+        return {fact: [] for fact in FACTS}
     payments, ratings = together(lambda: stage(payments, "payments"), lambda: stage(ratings, "ratings"))
     rows = {"usrpagto": payments, "avaliacao": ratings}
     users = source["usuario"]
@@ -50,29 +57,36 @@ def load_batch(source: Mapping[str, DataFrame], payments: DataFrame, ratings: Da
         lambda: register(source["produtora"].select("produtoraid").unionByName(unknown), ["produtoraid"], "produtorask", f"{root}/keys/produtora", name),
         lambda: register(_calendar_days(rows), ["datacompleta"], "calendariosk", f"{root}/keys/calendario", name),
     )
-    user_map, address_map, payer = together(
-        lambda: stage(registry_map(users, user_keys, USER_KEY, "usuarioid", "usuariosk"), "user-map"),
-        lambda: stage(registry_map(users, address_keys, ADDRESS_KEY, "usuarioid", "enderecosk"), "address-map"),
-        lambda: stage(facts.latest_payer(source["filmpagtoroy"]), "payer"),
-    )
-    # A producer that carries the label stands for the unknown one, where there is any.
-    labelled = source["produtora"].filter(F.col("produtoranome") == UNKNOWN_PRODUCER).select("produtoraid")
-    named = producer_keys.join(labelled, "produtoraid", "left_semi").select(F.min("produtorask")).scalar()
-    nobody = producer_keys.filter("produtoraid IS NULL").select(F.min("produtorask")).scalar()
-    films = stage(facts.film_lookup(film_keys, payer, producer_keys.dropna(), F.coalesce(named, nobody)), "film-keys")
-    located = user_map.join(address_map, "usuarioid")
+    user_map = stage(registry_map(users, user_keys, USER_KEY, "usuarioid", "usuariosk"), "user-map")
 
     def with_month(fact: DataFrame) -> DataFrame:
         days = day_keys.select("calendariosk", F.date_format("datacompleta", "yyyy-MM").alias(MONTH))
         return lookup_join(fact, days, "calendariosk")
 
-    revenue, rating = together(
-        lambda: merge_batch(with_month(facts.load_revenue(payments, stage(located, "user-keys"), day_keys)), f"{root}/facts/receita",
-                            ["receitask"], MONTH, name),
-        lambda: merge_batch(with_month(facts.load_rating(ratings, user_map, films, day_keys)), f"{root}/facts/avaliacao",
-                            ["avaliacaosk"], MONTH, name),
+    def revenue() -> DataFrame:
+        if payments.isEmpty():  # no row to find an address for
+            return spark.createDataFrame([], FACTS["receita"])
+        address_map = registry_map(users, address_keys, ADDRESS_KEY, "usuarioid", "enderecosk")
+        located = stage(user_map.join(address_map.hint("merge"), "usuarioid"), "user-keys")
+        return with_month(facts.load_revenue(payments, located, day_keys, LOOKUP_BYTES))
+
+    def rating() -> DataFrame:
+        if ratings.isEmpty():  # no row to find a film and its payer for
+            return spark.createDataFrame([], FACTS["avaliacao"])
+        payer = stage(facts.latest_payer(source["filmpagtoroy"]), "payer")
+        # A producer that carries the label stands for the unknown one, where there is any.
+        labelled = source["produtora"].filter(F.col("produtoranome") == UNKNOWN_PRODUCER).select("produtoraid")
+        named = producer_keys.join(labelled, "produtoraid", "left_semi").select(F.min("produtorask")).scalar()
+        nobody = producer_keys.filter("produtoraid IS NULL").select(F.min("produtorask")).scalar()
+        unknown_key = F.coalesce(named, nobody)
+        films = stage(facts.film_lookup(film_keys, payer, producer_keys.dropna(), unknown_key, LOOKUP_BYTES), "film-keys")
+        return with_month(facts.load_rating(ratings, user_map, films, day_keys, LOOKUP_BYTES))
+
+    merged = together(
+        lambda: merge_batch(revenue(), places["receita"], ["receitask"], MONTH, name),
+        lambda: merge_batch(rating(), places["avaliacao"], ["avaliacaosk"], MONTH, name),
     )
-    return {"receita": revenue, "avaliacao": rating}
+    return dict(zip(FACTS, merged))
 
 
 FACTS = {

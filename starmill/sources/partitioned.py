@@ -10,7 +10,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.operators.joins import lookup_join
 from starmill.operators.quality import ConstraintError, check_unique
 from starmill.sources import manifest
 from starmill.sources.staging import stage
@@ -51,38 +50,38 @@ def merge_batch(
         raise ConstraintError(f"batch {name} cannot be merged: {bad['k']}")
     rows = batch.filter(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else batch
     old = read_partitioned(spark, root, rows, partition)
-    keys = stage(batch.select(*key, F.lit(True).alias("_again")), "batch-keys")
+    # Both sides of the joins are unique in the key, so neither has a hot one.
+    keys = batch.select(*key).hint("merge")
 
     # One row per partition.
     touched = {r[0] for r in rows.select(partition).distinct().collect()}
     if moves or deleted:
-        held = lookup_join(old.select(*key, partition), keys, key).select(partition).distinct()
+        held = old.select(*key, partition).join(keys, key, "left_semi").select(partition).distinct()
         touched |= {r[0] for r in held.collect()}
     if not touched:
         manifest.commit(spark, root, name)
         return []
     within = old.filter(F.col(partition).isin(sorted(touched)))
-    kept = lookup_join(within, keys, key, "left").filter(F.col("_again").isNull()).drop("_again")
-    whole = stage(kept.unionByName(rows.select(*kept.columns)), "merged")
+    kept = stage(within.join(keys, key, "left_anti"), "kept") if manifest.exists(spark, f"{root}/{DATA}") else old
+    whole = kept.unionByName(rows.select(*kept.columns))
     path = f"{root}/{DATA}"
     # Partitions that lose their last row are not overwritten by a write, so they are taken out.
-    left = {r[0] for r in whole.select(partition).distinct().collect()}
-    ordered = whole.repartition(partition, _slice(whole, partition)).sortWithinPartitions(partition, *key)
+    left = dict(whole.groupBy(partition).count().collect())
+    ordered = whole.repartition(partition, _slice(whole, partition, left)).sortWithinPartitions(partition, *key)
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    for value in touched - left:
+    for value in touched - set(left):
         _remove(spark, f"{path}/{partition}={value}")
     manifest.commit(spark, root, name)
     return sorted(touched)
 
 
 #: Rows of one file, roughly.
-ROWS_PER_FILE = 5_000_000
+ROWS_PER_FILE = 1_000_000
 
 
-def _slice(rows: DataFrame, partition: str):
-    """A number that deals each partition to as many tasks as its rows ask for."""
-    most = rows.groupBy(partition).count().agg(F.max("count")).first()[0] or 0
-    files = max(1, -(-most // ROWS_PER_FILE))
+def _slice(rows: DataFrame, partition: str, counts: dict):
+    """A number that deals each partition to as many tasks as its rows, one count a partition, ask for."""
+    files = max(1, -(-max(counts.values(), default=0) // ROWS_PER_FILE))
     return F.pmod(F.xxhash64(*[c for c in rows.columns if c != partition]), F.lit(files))
 
 

@@ -5,8 +5,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from starmill.operators.joins import lookup_join
 from starmill.operators.quality import ConstraintError
 from starmill.operators.registry import register, registered, registry_map
+from starmill.plans import incremental
 from starmill.sources import manifest
 from starmill.sources.partitioned import merge_batch, read_partitioned
 
@@ -115,3 +117,47 @@ def test_merge_reads_only_the_partitions_it_touches(spark, tmp_path):
     merge_batch(base, root, ["id"], "d", "base")
     plan = read_partitioned(spark, root, base, "d").filter(F.col("d").isin(["p1"]))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan and "= p1" in plan
+
+
+def operational(spark):
+    users = [(i, f"u{i}@x", str(i % 3), "b", "m", f"s{i % 2}", f"l{i}") for i in range(6)]
+    return {
+        "usuario": frame(spark, users, "usuarioid long, email string, telefone string, bairro string, municipio string, estado string, logradouro string"),
+        "filme": frame(spark, [(i,) for i in range(5)], "filmeid long"),
+        "produtora": frame(spark, [(1, "p1"), (2, "p2")], "produtoraid long, produtoranome string"),
+        "filmpagtoroy": frame(spark, [(1.0, "2024-01-01", 1, 0), (2.0, "2024-02-01", 2, 0)], "valorpagto double, d string, produtoraid long, filmeid long")
+        .select("valorpagto", F.col("d").cast("date").alias("datapagto"), "produtoraid", "filmeid"),
+    }
+
+
+def test_a_batch_loads_only_what_it_brings(spark, rows, tmp_path, monkeypatch):
+    """No payer without a rating, no key without a new batch; the facts are those of all batches."""
+    root, source = str(tmp_path / "w"), operational(spark)
+    day = F.col("d").cast("date")
+    payments = frame(spark, [(i, 10.0 * i, f"2024-0{1 + i % 2}-03", i % 6) for i in range(8)], "usrpagtoid long, valorpago double, d string, usuarioid long")
+    payments = payments.select("usrpagtoid", "valorpago", day.alias("datapagto"), "usuarioid")
+    ratings = frame(spark, [(i, "2024-01-05", 3, i % 6, i % 5) for i in range(7)], "avaliacaoid long, d string, nota int, usuarioid long, filmeid long")
+    ratings = ratings.select("avaliacaoid", day.alias("avaliacaodata"), "nota", "usuarioid", "filmeid")
+    assert incremental.load_batch(source, payments, ratings, root, "one") == {"receita": ["2024-01", "2024-02"], "avaliacao": ["2024-01"]}
+
+    def unwanted(*_):
+        raise AssertionError("not asked for")
+
+    monkeypatch.setattr(incremental.facts, "latest_payer", unwanted)
+    more = payments.filter("usrpagtoid = 2").withColumn("valorpago", F.lit(7.0))
+    assert incremental.load_batch(source, more, ratings.limit(0), root, "two") == {"receita": ["2024-01"], "avaliacao": []}
+    monkeypatch.setattr(incremental, "register", unwanted)
+    assert incremental.load_batch(source, payments, ratings, root, "one") == {"receita": [], "avaliacao": []}
+    paid = incremental.loaded_fact(spark, root, "receita").select("receitask", "valorpago")
+    assert rows(paid) == sorted([(i, 7.0 if i == 2 else 10.0 * i) for i in range(8)], key=repr)
+    assert incremental.loaded_fact(spark, root, "avaliacao").count() == 7
+
+
+def test_a_lookup_over_the_limit_does_not_pass_the_driver(spark, rows):
+    """Spark alone would send it to all tasks, since its files are small."""
+    many = spark.range(3000).selectExpr("id % 1000 AS k", "id AS v")
+    few = spark.range(1000).selectExpr("id AS k", "id * 2 AS w")
+    joined = lookup_join(many, few, "k", max_bytes=1000)
+    joined.collect()
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert rows(joined) == rows(lookup_join(many, few, "k"))
