@@ -259,7 +259,7 @@ def _encoded(shared):
     def run(batches):
         codec = Codec.of(shared.value)
         for batch in batches:
-            for part in pieces(batch, 2 << 20):
+            for part in pieces(batch, 1 << 19):
                 texts = _texts(part.column("body"))
                 ids, ends, exact = codec.encode_arrays(texts)
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -245,21 +246,27 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float
     return float(max(a, 0.01)), float(b)
 
 
+def _judged(part: pa.RecordBatch, model: Model) -> tuple[list[float], list[list[int]], list[int]]:
+    """Score, significant passages and number of tokens of each text."""
+    how = model.settings
+    score, spans, total = [], [], []
+    for found, n in _scan(part, model.weights, how):
+        best = evidence(found)
+        x = _significance(np.array([s for _, _, s in found]), n, model.rate, model.scale)
+        real = [(b, e) for (b, e, _), v in zip(found, x) if v >= -np.log(how.significance)]
+        top = float(_significance(np.array([best]), n, model.rate, model.scale)[0])
+        score.append(1 / (1 + np.exp(-np.clip(model.slope * top + model.intercept, -30, 30))))
+        spans.append([p for span in real for p in span])
+        total.append(n)
+    return score, spans, total
+
+
 def _scored(shared):
     def run(batches):
         model = shared()
-        how = model.settings
         for batch in batches:
             for part in pieces(batch):
-                score, spans, total = [], [], []
-                for found, n in _scan(part, model.weights, how):
-                    best = evidence(found)
-                    x = _significance(np.array([s for _, _, s in found]), n, model.rate, model.scale)
-                    real = [(b, e) for (b, e, _), v in zip(found, x) if v >= -np.log(how.significance)]
-                    top = float(_significance(np.array([best]), n, model.rate, model.scale)[0])
-                    score.append(1 / (1 + np.exp(-np.clip(model.slope * top + model.intercept, -30, 30))))
-                    spans.append([p for span in real for p in span])
-                    total.append(n)
+                score, spans, total = _judged(part, model)
                 yield table(
                     rid=part.column("rid"), doc_id=part.column("doc_id"), score=np.array(score, np.float64),
                     n_tokens=np.array(total, np.int64), passages=pa.array(spans, pa.list_(pa.int32())),
@@ -308,21 +315,18 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``, all columns."""
-    base = identified(docs, id_col, text_col, whole=True)
-    model = train_labelled(base, labels, "toxic", id_col)
-    shared = send(docs.sparkSession, model)
-    row = base.schema["row"].dataType.simpleString()
-    return base.select("rid", "doc_id", "body", "row").mapInArrow(_below(shared, threshold), f"row {row}").select("row.*")
+    """The rows of ``docs`` that score below ``threshold``, all columns. Only texts go to Python and one
+    bit each comes back, so a worker holds no other column and no text twice."""
+    body = F.col(f"`{text_col}`").cast("binary")
+    model = train_labelled(docs.select(F.col(f"`{id_col}`").alias("doc_id"), body.alias("body")), labels, "toxic", id_col)
+    return docs.filter(_below(send(docs.sparkSession, model), threshold)(body))
 
 
 def _below(shared, threshold: float):
-    scored = _scored(shared)
-
-    def run(batches):
-        for batch in batches:
-            for part in pieces(batch):
-                (out,) = scored([part])
-                yield table(row=part.column("row").filter(pa.array(out.column("score").to_numpy() < threshold)))
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        model = shared()
+        for body in texts:
+            score = [np.array(_judged(part, model)[0], np.float64) for part in pieces(table(body=body))]
+            yield pa.array(np.concatenate([np.zeros(0), *score]) < threshold)
 
-    return run
+    return F.arrow_udf(run, "boolean")

@@ -77,3 +77,19 @@ def test_toxic_rows_go(spark):
     assert out.columns == docs.columns
     kept = toxicity.toxicity_scores(docs, labels).filter("predicted = 0").count()
     assert out.count() == kept
+
+
+def test_filter_sends_python_the_text_alone(frame, corpus, odd_corpus, spark):
+    """The rows that stay are those the scores let stay, and no row goes through a Python worker."""
+    toxic = [(900 + k, f"vile rotten filth you vile rotten filth and worse {k} " * 5) for k in range(30)]
+    for pairs in (corpus + toxic, odd_corpus + toxic):
+        docs = frame(pairs)
+        labels = spark.createDataFrame([(i, int(i is not None and i >= 900)) for i, _ in pairs], "doc_id long, toxic int")
+        scored = toxicity.toxicity_scores(docs, labels).collect()
+        out = toxicity.drop_toxic(docs, labels)
+        assert out.columns == docs.columns
+        left = sorted(r.doc_id for r in out.collect() if r.doc_id is not None)
+        assert left == sorted(r.doc_id for r in scored if r.score < 0.7 and r.doc_id is not None)
+        assert out.filter("doc_id IS NULL").count() == sum(r.score < 0.7 for r in scored if r.doc_id is None)
+        assert pairs[20] != corpus[20] or len(scored) > out.count()
+        assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
