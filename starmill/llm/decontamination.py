@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.hashing import lower_table, shingles, words
-from starmill.llm.rows import identified, joined_bytes, pieces, send, table
+from starmill.llm.rows import identified, joined_bytes, pieces, released, send, table
 from starmill.sources.staging import stage
 
 #: Bytes outside ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` once A-Z are lower-cased.
@@ -209,7 +209,7 @@ def contamination(
     named = items.select(
         F.col(f"`{item_id}`").cast("string").alias("item"), F.col(f"`{item_text}`").cast("binary").alias("body")
     )
-    held = stage(named.mapInArrow(_windows(size, shingle), "item string, window binary").distinct(), "item-windows")
+    held = stage(named.mapInArrow(released(_windows(size, shingle)), "item string, window binary").distinct(), "item-windows")
     # Written once, so a window keeps its name.
     windows = stage(
         held.select("window").distinct().withColumn("name", F.monotonically_increasing_id()), "windows"
@@ -248,14 +248,14 @@ def _against(docs: DataFrame, windows: list[bytes], names: list[int], shingle: i
     schema = f"rid long, doc_id {kind}, n_words long, spans array<int>, windows array<long>"
     block = Block(windows, names, shingle)
     if windows:
-        counted = docs.select("body").mapInArrow(_shingle_counts(send(spark, block)), "size int, key long, n long")
+        counted = docs.select("body").mapInArrow(released(_shingle_counts(send(spark, block))), "size int, key long, n long")
         counts = {s: np.zeros(len(k), np.int64) for s, k in block.all_keys.items()}
         for r in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect():  # keys of this block only
             counts[r["size"]][r["key"]] = r["n"]
         block.index(counts)
     else:
         block.by_size, block.length = {}, np.zeros(0, np.int64)
-    return docs.select("rid", "doc_id", "body").mapInArrow(_occurrences(send(spark, block)), schema)
+    return docs.select("rid", "doc_id", "body").mapInArrow(released(_occurrences(send(spark, block))), schema)
 
 
 def _verdicts(batches):
@@ -279,7 +279,7 @@ def contamination_digests(docs: DataFrame, items: DataFrame, id_col: str = "doc_
     base = identified(docs, id_col, text_col)
     kind = dict(base.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return contamination(base, items, **how).select("doc_id", "n_words", "spans", "items").mapInArrow(_verdicts, schema)
+    return contamination(base, items, **how).select("doc_id", "n_words", "spans", "items").mapInArrow(released(_verdicts), schema)
 
 
 

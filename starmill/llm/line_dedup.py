@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.hashing import GOLDEN, signed, spread
-from starmill.llm.rows import identified, table
+from starmill.llm.rows import identified, released, table
 from starmill.sources.staging import stage
 
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -35,19 +36,19 @@ def _occurrences(least: int):
 
     def run(batches):
         for batch in batches:
-            rids = batch.column("rid").to_numpy()
-            keys, rid, line = [], [], []
-            for r, body in zip(rids, batch.column("body").to_pylist()):
-                for k, text in enumerate((body or b"").split(b"\n")):
+            # A few dozen bytes a line: no list of all texts, and no object for a line.
+            keys, rid, line = bytearray(), array("q"), array("q")
+            for r, body in zip(batch.column("rid").to_pylist(), batch.column("body")):
+                for k, text in enumerate((body.as_py() or b"").split(b"\n")):
                     key = text.strip(BLANKS).lower()
                     if _long_enough(key, least):
-                        keys.append(xxhash.xxh3_128_digest(key))
+                        keys += xxhash.xxh3_128_digest(key)
                         rid.append(r)
                         line.append(k)
             if not keys:
                 continue
-            h = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
-            rid, line = np.array(rid, np.int64), np.array(line, np.int64)
+            h = np.frombuffer(keys, ">i8").astype(np.int64).reshape(-1, 2)
+            rid, line = np.frombuffer(rid, np.int64), np.frombuffer(line, np.int64)
             by = np.lexsort((line, rid, h[:, 1], h[:, 0]))
             hi, lo, rid, line = h[by, 0], h[by, 1], rid[by], line[by]
             new = np.ones(len(hi), bool)
@@ -94,10 +95,10 @@ def _after_first(batches):
 def line_drops(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     """``rid`` and the sorted line numbers it loses; documents that keep all lines have no row."""
     found = stage(
-        docs.select("rid", "body").mapInArrow(_occurrences(min_chars), OCCURRENCES), "line-keys"
+        docs.select("rid", "body").mapInArrow(released(_occurrences(min_chars)), OCCURRENCES), "line-keys"
     )
     ordered = found.repartitionByRange("hi", "lo").sortWithinPartitions("hi", "lo", "rid")
-    lost = ordered.mapInArrow(_after_first, "rid long, lines array<int>")
+    lost = ordered.mapInArrow(released(_after_first), "rid long, lines array<int>")
     return lost.groupBy("rid").agg(F.array_sort(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
@@ -122,7 +123,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     compared by 128-bit hash. Documents without a loss have no row. Null text is one empty
     line; rows that share an id, or have none, are documents of their own in id order.
     """
-    return line_drops(docs, min_chars).mapInArrow(_bitmaps, "rid long, n_dropped long, keep binary")
+    return line_drops(docs, min_chars).mapInArrow(released(_bitmaps), "rid long, n_dropped long, keep binary")
 
 
 def kept_lines(body: bytes | None, keep: bytes | None) -> tuple[list[bytes], int]:
@@ -158,15 +159,15 @@ def line_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = identified(docs, id_col, text_col)
     kind = dict(base.dtypes)["doc_id"]
     return with_bitmaps(base, min_chars).select("doc_id", "body", "n_dropped", "keep").mapInArrow(
-        _digests, f"doc_id {kind}, n_lines long, n_dropped long, kept_sha256 string"
+        released(_digests), f"doc_id {kind}, n_lines long, n_dropped long, kept_sha256 string"
     )
 
 
 def _rewritten(batches):
     for batch in batches:
         out = []
-        for body, keep in zip(batch.column("body").to_pylist(), batch.column("keep").to_pylist()):
-            out.append(b"\n".join(kept_lines(body, keep)[0]).decode("utf-8", "replace") if keep is not None else None)
+        for body, keep in zip(batch.column("body"), batch.column("keep").to_pylist()):
+            out.append(b"\n".join(kept_lines(body.as_py(), keep)[0]).decode("utf-8", "replace") if keep is not None else None)
         yield table(row=batch.column("row"), kept=pa.array(out, pa.string()))
 
 
@@ -175,7 +176,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = with_bitmaps(identified(docs, id_col, text_col, whole=True), min_chars)
     row = base.schema["row"].dataType.simpleString()
     body = F.col(f"row.`{text_col}`").cast("binary").alias("body")  # the text moves once, within its row
-    done = base.select("row", body, "keep").mapInArrow(_rewritten, f"row {row}, kept string")
+    done = base.select("row", body, "keep").mapInArrow(released(_rewritten), f"row {row}, kept string")
     fields = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c != text_col]
     text = F.coalesce("kept", F.col(f"row.`{text_col}`")).alias(text_col)
     return done.select(*fields, text).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.rows import identified, pieces, table
+from starmill.llm.rows import identified, pieces, released, table
 
 SPACE = "▁"
 #: Fixed values of the model format: piece types, and model types.
@@ -150,7 +150,7 @@ class Codec:
     _built: dict[str, "Codec"] = {}
 
     def __init__(self, model: bytes):
-        from tokenizers import normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.spec = parse(model)
         self.tokenizer = build(self.spec)
@@ -158,9 +158,7 @@ class Codec:
         # Where no piece runs on over a marker, words are encoded apart, each distinct one once.
         self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p, _, _ in self.spec.pieces)
         if self.by_word:
-            self.words = build(self.spec)
-            self.words.normalizer = normalizers.Sequence([])
-            self.words.pre_tokenizer = pre_tokenizers.Sequence([])
+            self.words = Tokenizer(self.tokenizer.model)  # one model in memory, without normaliser and split
         self.split = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.length = np.array([len(self._piece_bytes(*p)) for p in self.spec.pieces], np.int64)
         self._forget()
@@ -278,7 +276,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model))
     schema = f"rid long, doc_id {kind}, ids array<int>, round_trip boolean"
-    return docs.select("rid", "doc_id", "body").mapInArrow(_encoded(shared), schema)
+    return docs.select("rid", "doc_id", "body").mapInArrow(released(_encoded(shared)), schema)
 
 
 def _decoded(shared, ids_col: str):
@@ -296,7 +294,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out_col: str =
     shared = encoded.sparkSession.sparkContext.broadcast(model_bytes(encoded.sparkSession, model))
     wide = encoded.select(F.struct("*").alias("row"), F.col(f"`{ids_col}`").alias("ids"))
     row = wide.schema["row"].dataType.simpleString()
-    done = wide.mapInArrow(_decoded(shared, "ids"), f"row {row}, decoded string")
+    done = wide.mapInArrow(released(_decoded(shared, "ids")), f"row {row}, decoded string")
     return done.select("row.*", F.col("decoded").alias(out_col))
 
 

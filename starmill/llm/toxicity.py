@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.hashing import GOLDEN, codes, lower_table, spread, words
-from starmill.llm.rows import identified, joined_bytes, pieces, send, table
+from starmill.llm.rows import give_back, identified, joined_bytes, pieces, released, send, table
 from starmill.sources.staging import stage
 
 #: ASCII characters that are not letters separate tokens; every other character belongs to one.
 SEPARATORS = bytes([*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
 STEM_BYTES = 4
+#: Bytes of text made into tokens at a time; an array of a number per byte is eight times as long.
+PIECE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -71,7 +73,7 @@ def _counts(bits: int):
         totals = np.zeros((2, 2, 1 << bits), np.int32)
         for batch in batches:
             label = batch.column("label").to_numpy()
-            for part, own in zip(pieces(batch), _cut(batch, label)):
+            for part, own in zip(pieces(batch, PIECE), _cut(batch, label)):
                 word, stem, first = tokens(*joined_bytes(part.column("body")), bits)
                 text = np.repeat(np.arange(len(own)), np.diff(first))
                 for kind, feature in enumerate((word, stem)):
@@ -92,7 +94,7 @@ def _counts(bits: int):
 
 def _cut(batch: pa.RecordBatch, values: np.ndarray):
     at = 0
-    for part in pieces(batch):
+    for part in pieces(batch, PIECE):
         yield values[at : at + part.num_rows]
         at += part.num_rows
 
@@ -169,7 +171,7 @@ def _best_segments(shared, how: Settings):
         weights = shared.value
         for batch in batches:
             label = batch.column("label").to_numpy()
-            for part, own in zip(pieces(batch), _cut(batch, label)):
+            for part, own in zip(pieces(batch, PIECE), _cut(batch, label)):
                 best, n = [], []
                 for found, size in _scan(part, weights, how):
                     best.append(evidence(found))
@@ -192,12 +194,12 @@ def train(docs: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Mod
     wanted = known.orderBy(F.xxhash64("doc_id")).limit(how.sample)  # ids and labels only, so small enough to send
     rows = docs.join(F.broadcast(wanted), "doc_id").select("body", "label")
     weights = np.zeros((2, 1 << how.bits))
-    counted = rows.mapInArrow(_counts(how.bits), "kind int, feature int, clean long, toxic long")
+    counted = rows.mapInArrow(released(_counts(how.bits)), "kind int, feature int, clean long, toxic long")
     summed = counted.groupBy("kind", "feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     found = log_odds(stage(summed, "feature-counts"), how).toPandas()
     weights[found["kind"].to_numpy(np.int64), found["feature"].to_numpy(np.int64)] = found["weight"].to_numpy(float)
     weights = weights.astype(np.float32)
-    best = rows.mapInArrow(_best_segments(spark.sparkContext.broadcast(weights), how), "label int, best double, n long")
+    best = rows.mapInArrow(released(_best_segments(spark.sparkContext.broadcast(weights), how)), "label int, best double, n long")
     # A table bounded by its bins: score in tenths up to a cap, length in powers of two.
     binned = best.groupBy(
         "label", F.round(F.least("best", F.lit(100.0)), 1).alias("s"), F.floor(F.log2(F.col("n") + 1.0)).alias("size")
@@ -265,7 +267,7 @@ def _scored(shared):
     def run(batches):
         model = shared()
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, PIECE):
                 score, spans, total = _judged(part, model)
                 yield table(
                     rid=part.column("rid"), doc_id=part.column("doc_id"), score=np.array(score, np.float64),
@@ -284,7 +286,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     shared = send(docs.sparkSession, model)
     schema = f"rid long, doc_id {kind}, score double, n_tokens long, passages array<int>"
-    return docs.select("rid", "doc_id", "body").mapInArrow(_scored(shared), schema)
+    return docs.select("rid", "doc_id", "body").mapInArrow(released(_scored(shared)), schema)
 
 
 def fold(id_col: str = "doc_id"):
@@ -326,7 +328,8 @@ def _below(shared, threshold: float):
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = shared()
         for body in texts:
-            score = [np.array(_judged(part, model)[0], np.float64) for part in pieces(table(body=body))]
+            score = [np.array(_judged(part, model)[0], np.float64) for part in pieces(table(body=body), PIECE)]
             yield pa.array(np.concatenate([np.zeros(0), *score]) < threshold)
+        give_back()
 
     return F.arrow_udf(run, "boolean")
