@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.rows import identified, pieces, released, table
+from starmill.llm.rows import identified, per_worker, pieces, released, table
 
 SPACE = "▁"
 #: Fixed values of the model format: piece types, and model types.
@@ -147,8 +147,6 @@ CHUNK, THREADS = 2048, 2
 class Codec:
     """Encoder and decoder of one model, built once per Python worker."""
 
-    _built: dict[str, "Codec"] = {}
-
     def __init__(self, model: bytes):
         from tokenizers import Tokenizer
 
@@ -174,12 +172,9 @@ class Codec:
 
     @classmethod
     def of(cls, model: bytes) -> "Codec":
-        key = hashlib.sha256(model).hexdigest()
-        if key not in cls._built:
-            os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-            os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
-            cls._built[key] = cls(model)
-        return cls._built[key]
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
+        return per_worker("pieces", hashlib.sha256(model).digest(), lambda: cls(model))
 
     def normalize(self, text: str) -> str:
         spec = self.spec
@@ -276,7 +271,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(model_bytes(docs.sparkSession, model))
     schema = f"rid long, doc_id {kind}, ids array<int>, round_trip boolean"
-    return docs.select("rid", "doc_id", "body").mapInArrow(released(_encoded(shared)), schema)
+    return docs.select("rid", "doc_id", "body").mapInArrow(released(_encoded(shared), "pieces"), schema)
 
 
 def _decoded(shared, ids_col: str):
@@ -294,7 +289,7 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", out_col: str =
     shared = encoded.sparkSession.sparkContext.broadcast(model_bytes(encoded.sparkSession, model))
     wide = encoded.select(F.struct("*").alias("row"), F.col(f"`{ids_col}`").alias("ids"))
     row = wide.schema["row"].dataType.simpleString()
-    done = wide.mapInArrow(released(_decoded(shared, "ids")), f"row {row}, decoded string")
+    done = wide.mapInArrow(released(_decoded(shared, "ids"), "pieces"), f"row {row}, decoded string")
     return done.select("row.*", F.col("decoded").alias(out_col))
 
 

@@ -3,12 +3,13 @@
 import platform
 import tracemalloc
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from starmill.llm import jaccard_join, line_dedup, rows, toxicity
+from starmill.llm import jaccard_join, line_dedup, rows, sentencepiece_codec, toxicity
 
 
 def peak(run, batch) -> int:
@@ -65,3 +66,33 @@ def test_a_worker_gives_back_what_a_task_held():
     (during,) = rows.released(run)(iter([]))
     assert during > before + 150
     assert resident() < before + 60
+
+
+def test_a_worker_keeps_what_it_built_only_for_the_same_step():
+    made = []
+
+    def run(_):
+        yield rows.per_worker("tables", b"1", lambda: made.append(1) or len(made))
+
+    other = rows.released(lambda _: iter(()))
+    assert [*rows.released(run, "tables")(None), *rows.released(run, "tables")(None)] == [1, 1]
+    list(other(None))
+    assert list(rows.released(run, "tables")(None)) == [2]
+
+
+def test_pieces_are_built_once_for_all_tasks(monkeypatch):
+    built = []
+
+    class Counted(sentencepiece_codec.Codec):
+        def __init__(self, model):
+            built.append(model)
+
+        def encode_arrays(self, texts):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64), np.ones(len(texts), bool)
+
+    monkeypatch.setattr(sentencepiece_codec, "Codec", Counted)
+    one = pa.RecordBatch.from_pydict({"rid": [1], "doc_id": [1], "body": pa.array([b""], pa.binary())})
+    run = rows.released(sentencepiece_codec._encoded(SimpleNamespace(value=b"model")), "pieces")
+    assert list(run([one])) and list(run([one])) and built == [b"model"]
+    list(rows.released(lambda _: iter(()))(None))  # another step: the worker holds no pieces meanwhile
+    assert list(run([one])) and len(built) == 2
